@@ -17,17 +17,16 @@ def blank_key(key) -> Column:
     return F.coalesce(F.trim(_column(key)) == "", F.lit(True))
 
 
-def finite(value) -> Column:
-    """True for a known, finite number; Spark has no isfinite of its own."""
-    number = _column(value).cast("double")
-    return ~F.isnan(number) & (F.abs(number) != float("inf"))
-
-
 def not_finite(value) -> Column:
+    """NaN or infinite; NULL for an unknown number. Spark has no isfinite of its own."""
     number = _column(value).cast("double")
     return F.isnan(number) | (F.abs(number) == float("inf"))
 
 
+def finite(value) -> Column:
+    return _column(value).isNotNull() & ~not_finite(value)
+
+
 def known_status(status) -> Column:
     """Open-access status with blanks and NULL grouped as 'unknown'."""
     return F.coalesce(F.nullif(F.trim(_column(status)), F.lit("")), F.lit("unknown"))

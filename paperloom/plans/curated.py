@@ -28,15 +28,17 @@ def _row_text(frame: DataFrame, skip=()):
     return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
 
 
-def papers(works: DataFrame, available: set[str] | None = None) -> DataFrame:
+def papers(works: DataFrame) -> DataFrame:
     """One row per work. Repeated ids stay, for the uniqueness check to find."""
-    paths = field_paths(works.schema) if available is None else available
+    paths = field_paths(works.schema)
+    if dict(works.dtypes).get("publication_date") == "string":
+        works = works.withColumn("publication_date", F.try_to_date("publication_date"))
     return works.select(F.col("id").alias("paper_id"), *_columns(PAPER_ATTRIBUTES, paths))
 
 
-def topics(links: DataFrame, available: set[str] | None = None) -> DataFrame:
+def topics(links: DataFrame) -> DataFrame:
     """One row per topic, labelled by the earliest work that carries it."""
-    paths = field_paths(links.schema) if available is None else available
+    paths = field_paths(links.schema)
     lineage = (WORK_ID, WORK_PRIMARY, "_parent_id", "_row_id", "pos")
     rows = links.filter(identified("id")).select(
         F.col("id").alias("topic_id"),
@@ -47,9 +49,9 @@ def topics(links: DataFrame, available: set[str] | None = None) -> DataFrame:
     return first_per_key(rows, ["topic_id"], ["_work", "_text"]).drop("_work", "_text")
 
 
-def paper_topics(links: DataFrame, available: set[str] | None = None) -> DataFrame:
+def paper_topics(links: DataFrame) -> DataFrame:
     """Distinct (paper, topic) pairs with the best score and the primary flag."""
-    paths = field_paths(links.schema) if available is None else available
+    paths = field_paths(links.schema)
     attributes = [F.max("score").alias("topic_score")] if "score" in paths else []
     if WORK_PRIMARY in links.columns:
         flag = F.bool_or(F.col("id") == F.col(WORK_PRIMARY))
@@ -59,9 +61,9 @@ def paper_topics(links: DataFrame, available: set[str] | None = None) -> DataFra
     return grouped.agg(*attributes) if attributes else grouped.agg(F.count("*")).select(*TABLE_KEYS["paper_topics"])
 
 
-def authors(links: DataFrame, available: set[str] | None = None) -> DataFrame:
+def authors(links: DataFrame) -> DataFrame:
     """One row per author, labelled by the earliest work and authorship."""
-    paths = field_paths(links.schema) if available is None else available
+    paths = field_paths(links.schema)
     rows = links.filter(identified("author.id")).select(
         F.col("author.id").alias("author_id"),
         *_columns(AUTHOR_ATTRIBUTES, paths),
@@ -71,9 +73,9 @@ def authors(links: DataFrame, available: set[str] | None = None) -> DataFrame:
     return first_per_key(rows, ["author_id"], ["_work", "_row_id"]).drop("_work", "_row_id")
 
 
-def paper_authors(links: DataFrame, available: set[str] | None = None) -> DataFrame:
+def paper_authors(links: DataFrame) -> DataFrame:
     """Distinct (paper, author) pairs with the attributes of the first authorship."""
-    paths = field_paths(links.schema) if available is None else available
+    paths = field_paths(links.schema)
     attributes = [c for c in ("author_position", "is_corresponding") if c in paths]
     rows = links.filter(identified("author.id")).select(
         F.col(WORK_ID).alias("paper_id"), F.col("author.id").alias("author_id"), *attributes, "_row_id"
@@ -81,9 +83,9 @@ def paper_authors(links: DataFrame, available: set[str] | None = None) -> DataFr
     return first_per_key(rows, TABLE_KEYS["paper_authors"], ["_row_id"]).drop("_row_id")
 
 
-def institutions(links: DataFrame, available: set[str] | None = None) -> DataFrame:
+def institutions(links: DataFrame) -> DataFrame:
     """One row per institution, labelled by the earliest work and authorship."""
-    paths = field_paths(links.schema) if available is None else available
+    paths = field_paths(links.schema)
     lineage = (WORK_ID, "_parent_id", "_row_id", "pos")
     rows = links.filter(identified("id")).select(
         F.col("id").alias("institution_id"),
@@ -105,25 +107,24 @@ def paper_institutions(links: DataFrame) -> DataFrame:
     )
 
 
-def build(relations: Relations, available: dict[str, set[str]] | None = None) -> dict:
+def build(relations: Relations) -> dict:
     """All seven tables; an absent child relation gives empty key-only tables."""
     spark = relations.works.sparkSession
-    known = available or {}
 
-    def table(name, builder, source, *extra):
-        return empty_relation(spark, TABLE_KEYS[name]) if source is None else builder(source, *extra)
+    def table(name, builder, source):
+        return empty_relation(spark, TABLE_KEYS[name]) if source is None else builder(source)
 
     topic_links = _with_key(relations.topics, "id")
     author_links = _with_author(relations.authorships)
     institution_links = _with_key(relations.institutions, "id")
     return {
-        "papers": papers(relations.works, known.get("works")),
-        "topics": table("topics", topics, topic_links, known.get("topics")),
-        "paper_topics": table("paper_topics", paper_topics, topic_links, known.get("topics")),
-        "authors": table("authors", authors, author_links, known.get("authorships")),
-        "paper_authors": table("paper_authors", paper_authors, author_links, known.get("authorships")),
+        "papers": papers(relations.works),
+        "topics": table("topics", topics, topic_links),
+        "paper_topics": table("paper_topics", paper_topics, topic_links),
+        "authors": table("authors", authors, author_links),
+        "paper_authors": table("paper_authors", paper_authors, author_links),
         "institutions": table(
-            "institutions", institutions, institution_links, known.get("institutions")
+            "institutions", institutions, institution_links
         ),
         "paper_institutions": table("paper_institutions", paper_institutions, institution_links),
     }
@@ -142,7 +143,7 @@ def _with_author(frame):
     return frame.withColumn("author", F.struct(F.lit(None).cast("string").alias("id")))
 
 
-def build_nested(works: DataFrame, available: dict[str, set[str]] | None = None) -> dict:
+def build_nested(works: DataFrame) -> dict:
     """The same tables from nested works with unique ids.
 
     A work holds all its links in its own arrays, so the three bridges are made
@@ -150,13 +151,12 @@ def build_nested(works: DataFrame, available: dict[str, set[str]] | None = None)
     each task has cut its rows to one per key.
     """
     columns = set(works.columns)
-    known = available or {}
-    tables = build(normalize(works), available)
+    tables = build(normalize(works))
     if "topics" in columns and "topics.id" in _element_paths(works, "topics"):
-        tables["paper_topics"] = _nested_paper_topics(works, known.get("topics"))
+        tables["paper_topics"] = _nested_paper_topics(works)
     inner = _element_paths(works, "authorships") if "authorships" in columns else set()
     if "authorships.author.id" in inner:
-        tables["paper_authors"] = _nested_paper_authors(works, known.get("authorships"))
+        tables["paper_authors"] = _nested_paper_authors(works)
     if "authorships.institutions" in inner:
         ids = F.flatten(F.transform("authorships", lambda a: F.coalesce(a["institutions"]["id"], F.array())))
         pairs = works.select(F.col("id").alias("paper_id"), F.explode(F.array_distinct(ids)).alias("institution_id"))
@@ -176,9 +176,8 @@ def _first_of_runs(ordered, key):
     )
 
 
-def _nested_paper_topics(works, available):
+def _nested_paper_topics(works):
     paths = {p.removeprefix("topics.") for p in _element_paths(works, "topics")}
-    paths = paths if available is None else available
     scored = "score" in paths
     # NULL scores sort last through the flag, higher scores first through the sign.
     entry = lambda t: F.struct(
@@ -194,9 +193,8 @@ def _nested_paper_topics(works, available):
     return links.select(F.col("id").alias("paper_id"), F.col("_link.id").alias("topic_id"), *attributes)
 
 
-def _nested_paper_authors(works, available):
+def _nested_paper_authors(works):
     paths = {p.removeprefix("authorships.") for p in _element_paths(works, "authorships")}
-    paths = paths if available is None else available
     attributes = [c for c in ("author_position", "is_corresponding") if c in paths]
     entry = lambda a, i: F.struct(
         a["author"]["id"].alias("id"), i.alias("place"), *[a[c].alias(c) for c in attributes]

@@ -9,6 +9,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    # Call sites of every column expression cost more than small plans themselves.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -5,6 +5,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from paperloom.model import field_paths
 from paperloom.operators.integrity import orphans
 
 # Columns a child row carries from its work, so that no later join is needed.
@@ -38,16 +39,18 @@ def normalize(works: DataFrame) -> Relations:
     """
     columns = set(works.columns)
     primary = (
-        F.col("primary_topic.id") if "primary_topic" in columns else F.lit(None).cast("string")
+        [F.col("primary_topic.id").alias(WORK_PRIMARY)]
+        if "primary_topic.id" in field_paths(works.schema)
+        else []
     )
     scalars = [c for c in works.columns if c not in ("topics", "authorships")]
     topics = authorships = institutions = None
     if "topics" in columns:
         topics = works.select(
-            F.col("id").alias(WORK_ID), primary.alias(WORK_PRIMARY), F.posexplode("topics")
+            F.col("id").alias(WORK_ID), *primary, F.posexplode("topics")
         ).select(
             WORK_ID,
-            WORK_PRIMARY,
+            *([WORK_PRIMARY] if primary else []),
             F.col("pos").cast("long").alias("pos"),
             F.col(WORK_ID).alias("_parent_id"),
             "col.*",
@@ -101,7 +104,7 @@ def attach_lineage(relations: Relations) -> Relations:
         if lost:
             raise LineageError(f"orphan lineage in {name}")
 
-    has_primary = "primary_topic" in works.columns
+    has_primary = "primary_topic.id" in field_paths(works.schema)
     carried = [F.col("id").alias(WORK_ID)]
     carried += [F.col("primary_topic.id").alias(WORK_PRIMARY)] if has_primary else []
     parents = works.select(F.col("_row_id").alias("_work"), *carried)
