@@ -11,7 +11,7 @@ from paperloom.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(cores="4", shuffle_partitions="4", name="tests")
+    session = local_session(cores="8", shuffle_partitions="2", name="tests")
     yield session
     session.stop()
 
