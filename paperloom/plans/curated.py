@@ -22,10 +22,9 @@ def _columns(attributes, paths):
     return [F.col(source).alias(name) for name, source in present(attributes, paths).items()]
 
 
-def _row_text(frame: DataFrame, skip=()):
-    """The row as JSON text in field order, NULLs kept: the last tie-break."""
-    fields = [c for c in frame.columns if c not in skip]
-    return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+def _fields_order(frame: DataFrame, lineage):
+    """The last tie-break: the row's own fields in their order, NULLs last."""
+    return [F.col(c).asc_nulls_last() for c in frame.columns if c not in lineage]
 
 
 def papers(works: DataFrame) -> DataFrame:
@@ -38,15 +37,12 @@ def papers(works: DataFrame) -> DataFrame:
 
 def topics(links: DataFrame) -> DataFrame:
     """One row per topic, labelled by the earliest work that carries it."""
-    paths = field_paths(links.schema)
     lineage = (WORK_ID, WORK_PRIMARY, "_parent_id", "_row_id", "pos")
-    rows = links.filter(identified("id")).select(
-        F.col("id").alias("topic_id"),
-        *_columns(TOPIC_ATTRIBUTES, paths),
-        F.col(WORK_ID).alias("_work"),
-        _row_text(links, lineage).alias("_text"),
+    order = [F.col(WORK_ID), *_fields_order(links, lineage)]
+    rows = first_per_key(links.filter(identified("id")), ["id"], order)
+    return rows.select(
+        F.col("id").alias("topic_id"), *_columns(TOPIC_ATTRIBUTES, field_paths(links.schema))
     )
-    return first_per_key(rows, ["topic_id"], ["_work", "_text"]).drop("_work", "_text")
 
 
 def paper_topics(links: DataFrame) -> DataFrame:
@@ -85,17 +81,13 @@ def paper_authors(links: DataFrame) -> DataFrame:
 
 def institutions(links: DataFrame) -> DataFrame:
     """One row per institution, labelled by the earliest work and authorship."""
-    paths = field_paths(links.schema)
     lineage = (WORK_ID, "_parent_id", "_row_id", "pos")
-    rows = links.filter(identified("id")).select(
+    order = [F.col(WORK_ID), F.col("_parent_id"), *_fields_order(links, lineage)]
+    rows = first_per_key(links.filter(identified("id")), ["id"], order)
+    return rows.select(
         F.col("id").alias("institution_id"),
-        *_columns(INSTITUTION_ATTRIBUTES, paths),
-        F.col(WORK_ID).alias("_work"),
-        F.col("_parent_id").alias("_authorship"),
-        _row_text(links, lineage).alias("_text"),
+        *_columns(INSTITUTION_ATTRIBUTES, field_paths(links.schema)),
     )
-    order = ["_work", "_authorship", "_text"]
-    return first_per_key(rows, ["institution_id"], order).drop(*order)
 
 
 def paper_institutions(links: DataFrame) -> DataFrame:

@@ -1,11 +1,14 @@
 """Versioned layers and append-only ledgers under one folder of the shared store."""
 
+import json
 import time
 from concurrent.futures import ThreadPoolExecutor
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from paperloom.operators.firsts import first_per_key
 
@@ -23,13 +26,22 @@ LEDGERS = {
         "execution_id string, run_id string, check_name string, layer string, status string, "
         "observed_value string, expected_condition string, details string, checked_at timestamp"
     ),
-    "layer_versions": "layer string, version bigint, tables array<string>",
+    "layer_versions": "layer string, version bigint, tables map<string, string>",
     "known_fields": "relation string, path string",
 }
 # The columns whose latest entry stands for the ones before it.
 LEDGER_KEYS = {"pipeline_runs": ["run_id"], "processed_files": ["file_path"]}
 
 
+def small_frame(spark: SparkSession, rows, ddl: str) -> DataFrame:
+    """A few driver-side rows as a local relation: no Python worker, no extra stage."""
+    schema = T.StructType.fromDDL(ddl)
+    table = pa.table(
+        {field.name: pa.array([row[i] for row in rows]) for i, field in enumerate(schema.fields)}
+    )
+    return spark.createDataFrame(table, schema)
+
+
 class Warehouse:
     """Layers are written to a new version folder and become visible by a ledger entry.
 
@@ -49,7 +61,7 @@ class Warehouse:
         if not isinstance(rows, DataFrame):
             if not rows:
                 return
-            rows = self.spark.createDataFrame(rows, LEDGERS[name]).coalesce(1)
+            rows = small_frame(self.spark, rows, LEDGERS[name]).coalesce(1)
         stamped = rows.withColumn("sequence", F.lit(time.time_ns()).cast("long"))
         stamped.write.mode("append").parquet(f"{self.root}/ops/{name}")
 
@@ -82,10 +94,18 @@ class Warehouse:
     def tables(self, layer: str) -> dict[str, DataFrame]:
         """The published tables of a layer; none before its first publication."""
         row = self.version(layer)
-        return {} if row is None else self.read_version(layer, row["version"], row["tables"])
-
-    def read_version(self, layer, version, names) -> dict[str, DataFrame]:
-        return {n: self.spark.read.parquet(f"{self.root}/{layer}/v={version}/{n}") for n in names}
+        if row is None:
+            return {}
+        recorded = (row["tables"] or {}).items()
+        schemas = {name: T.StructType.fromJson(json.loads(text)) for name, text in recorded}
+        return self.read_version(layer, row["version"], schemas)
+
+    def read_version(self, layer, version, schemas) -> dict[str, DataFrame]:
+        """Tables of one version; their recorded schemas spare the footer scan."""
+        return {
+            name: self.spark.read.schema(schema).parquet(f"{self.root}/{layer}/v={version}/{name}")
+            for name, schema in schemas.items()
+        }
 
     def stage(self, layer: str, tables: dict[str, DataFrame]) -> tuple[int, dict[str, DataFrame]]:
         """Write all tables to a fresh version folder without making them visible.
@@ -101,11 +121,15 @@ class Warehouse:
 
         with ThreadPoolExecutor(max_workers=8) as pool:
             list(pool.map(write, tables.items()))
-        return version, self.read_version(layer, version, list(tables))
-
-    def release(self, layer: str, version: int, tables):
-        """Make a staged version the current one."""
-        self.append("layer_versions", [(layer, version, list(tables))])
+        return version, self.read_version(layer, version, {n: t.schema for n, t in tables.items()})
+
+    def release(self, layer: str, version: int, tables: dict[str, DataFrame]):
+        """Make a staged version the current one, with the schema of every table."""
+        schemas = [(name, table.schema.json()) for name, table in tables.items()]
+        row = small_frame(self.spark, [(layer, version)], "layer string, version bigint")
+        pairs = [c for name, text in schemas for c in (F.lit(name), F.lit(text))]
+        listed = F.create_map(*pairs) if pairs else F.lit(None).cast("map<string, string>")
+        self.append("layer_versions", row.withColumn("tables", listed).coalesce(1))
 
     def publish(self, layer: str, tables: dict[str, DataFrame], validate=None):
         """Stage, validate and release a layer; a failed check keeps the previous one."""

@@ -1,5 +1,7 @@
 """Every operator as a named query over the star-schema tables of one folder."""
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,8 +16,36 @@ from paperloom.sources.relations import WORK_ID, Relations, attach_lineage
 REFERENCE_YEAR = 2005
 
 
+class CuratedTables(Mapping):
+    """The seven curated tables by name, each planned only when it is asked for."""
+
+    def __init__(self, data, with_primary):
+        links = data.topic_links
+        self._builders = {
+            "papers": lambda: data.papers(with_primary),
+            "topics": lambda: curated.topics(links()),
+            "paper_topics": lambda: curated.paper_topics(links(with_primary=with_primary)),
+            "authors": lambda: curated.authors(data.authorships()),
+            "paper_authors": lambda: curated.paper_authors(data.authorships()),
+            "institutions": lambda: curated.institutions(data.affiliations()),
+            "paper_institutions": lambda: curated.paper_institutions(data.affiliations()),
+        }
+        self._built = {}
+
+    def __getitem__(self, name):
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self):
+        return len(self._builders)
+
+
 class Data:
-    """Curated tables of one folder, each built only when a query asks for it."""
+    """The source tables of one folder, seen as works."""
 
     def __init__(self, spark, sf_dir):
         self.spark, self.sf_dir = spark, sf_dir
@@ -36,16 +66,7 @@ class Data:
         return star.institutions(self.spark, self.sf_dir, **options)
 
     def tables(self, with_primary=False):
-        authorships, affiliations = self.authorships(), self.affiliations()
-        return {
-            "papers": self.papers(with_primary),
-            "topics": curated.topics(self.topic_links()),
-            "paper_topics": curated.paper_topics(self.topic_links(with_primary=with_primary)),
-            "authors": curated.authors(authorships),
-            "paper_authors": curated.paper_authors(authorships),
-            "institutions": curated.institutions(affiliations),
-            "paper_institutions": curated.paper_institutions(affiliations),
-        }
+        return CuratedTables(self, with_primary)
 
     def facts(self, with_primary=True):
         return analytics.paper_facts({"papers": self.papers(with_primary)}, REFERENCE_YEAR)
