@@ -1,0 +1,47 @@
+"""Keys that hold too many rows for one task, and joins that split them."""
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from paperloom.session import ensure_checkpoint_dir
+
+# A group beyond this many rows is split over tasks.
+HOT_ROWS = 2_000_000
+
+
+def hot_keys(frame: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame | None:
+    """Keys with more than `hot_rows` rows as column `_hot`, or None without any.
+
+    There are fewer than rows / hot_rows of them, which bounds what a caller may
+    broadcast. Counting is pre-aggregated and skipped when the whole frame is small.
+    """
+    if frame.count() <= hot_rows:
+        return None
+    counts = frame.groupBy(F.col(key).alias("_hot")).agg(F.count("*").alias("_rows"))
+    found = counts.filter(F.col("_rows") > hot_rows).select("_hot")
+    ensure_checkpoint_dir(frame.sparkSession)
+    found = found.checkpoint()
+    return None if found.isEmpty() else F.broadcast(found)
+
+
+def split_hot(frame: DataFrame, key: str, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of ordinary keys and rows of hot keys."""
+    same = F.col(key).eqNullSafe(F.col("_hot"))
+    return frame.join(hot, same, "left_anti"), frame.join(hot, same, "left_semi")
+
+
+def join_parent(
+    children: DataFrame, parents: DataFrame, key: str, how: str = "inner", hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Join children to the single parent row of their key.
+
+    A parent with very many children would send them all to one task wherever the
+    parents are already partitioned by the key, since Spark then has no shuffle to
+    split. The few parents of hot keys are broadcast instead; the rest joins as usual.
+    """
+    hot = hot_keys(children, key, hot_rows)
+    if hot is None:
+        return children.join(parents, key, how)
+    ordinary, many = split_hot(children, key, hot)
+    _, few = split_hot(parents, key, hot)
+    return ordinary.join(parents, key, how).unionByName(many.join(F.broadcast(few), key, how))

@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from paperloom.operators.hot import HOT_ROWS, hot_keys, split_hot
 from paperloom.session import ensure_checkpoint_dir
 
 # monotonically_increasing_id keeps the partition above, the row below this bit.
@@ -40,38 +41,25 @@ def global_row_number(frame: DataFrame, order, name: str) -> DataFrame:
 
 
 def ordinal_within(
-    frame: DataFrame, group: str, order, name: str, hot_rows: int = 2_000_000
+    frame: DataFrame, group: str, order, name: str, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Zero-based position of every row inside its group.
 
     Groups up to `hot_rows` go through an ordinary window. Larger ones are numbered
-    by the distributed global rank, less the rank at which their group starts. There
-    are at most rows / hot_rows such groups, which bounds the joined start table.
+    by the distributed global rank, less the rank at which their group starts; the
+    broadcast starts are bounded by rows / hot_rows.
     """
     window = Window.partitionBy(group).orderBy(*order)
-    windowed = lambda rows: rows.withColumn(
-        name, (F.row_number().over(window) - 1).cast("long")
-    )
-    if frame.count() <= hot_rows:
-        return windowed(frame)
-    hot = (
-        frame.groupBy(group)
-        .agg(F.count("*").alias("_rows"))
-        .filter(F.col("_rows") > hot_rows)
-        .select(F.col(group).alias("_hot"))
-    )
-    if hot.isEmpty():
-        return windowed(frame)
-    ensure_checkpoint_dir(frame.sparkSession)
-    hot = hot.checkpoint()
-    is_hot = F.col(group).eqNullSafe(F.col("_hot"))
-    ranked = global_row_number(
-        frame.join(hot, is_hot, "left_semi"), [F.col(group), *order], "_rank"
-    )
+    position = (F.row_number().over(window) - 1).cast("long")
+    hot = hot_keys(frame, group, hot_rows)
+    if hot is None:
+        return frame.withColumn(name, position)
+    ordinary, large = split_hot(frame, group, hot)
+    ranked = global_row_number(large, [F.col(group), *order], "_rank")
     starts = ranked.groupBy(F.col(group).alias("_hot")).agg(F.min("_rank").alias("_start"))
     numbered = (
-        ranked.join(starts, is_hot)
+        ranked.join(F.broadcast(starts), F.col(group).eqNullSafe(F.col("_hot")))
         .withColumn(name, F.col("_rank") - F.col("_start"))
         .select(*frame.columns, name)
     )
-    return windowed(frame.join(hot, is_hot, "left_anti")).unionByName(numbered)
+    return ordinary.withColumn(name, position).unionByName(numbered)
