@@ -14,7 +14,7 @@ from paperloom.model import (
     field_paths,
     present,
 )
-from paperloom.operators.firsts import first_per_key
+from paperloom.operators.firsts import earliest
 from paperloom.sources.relations import WORK_ID, WORK_PRIMARY, Relations, normalize
 
 
@@ -22,9 +22,8 @@ def _columns(attributes, paths):
     return [F.col(source).alias(name) for name, source in present(attributes, paths).items()]
 
 
-def _fields_order(frame: DataFrame, lineage):
-    """The last tie-break: the row's own fields in their order, NULLs last."""
-    return [F.col(c).asc_nulls_last() for c in frame.columns if c not in lineage]
+def _own_fields(frame: DataFrame, lineage):
+    return [c for c in frame.columns if c not in lineage]
 
 
 def papers(works: DataFrame) -> DataFrame:
@@ -37,9 +36,9 @@ def papers(works: DataFrame) -> DataFrame:
 
 def topics(links: DataFrame) -> DataFrame:
     """One row per topic, labelled by the earliest work that carries it."""
-    lineage = (WORK_ID, WORK_PRIMARY, "_parent_id", "_row_id", "pos")
-    order = [F.col(WORK_ID), *_fields_order(links, lineage)]
-    rows = first_per_key(links.filter(identified("id")), ["id"], order)
+    lineage = ("id", WORK_ID, WORK_PRIMARY, "_parent_id", "_row_id", "pos")
+    fields = _own_fields(links, lineage)
+    rows = earliest(links.filter(identified("id")), ["id"], [WORK_ID], fields)
     return rows.select(
         F.col("id").alias("topic_id"), *_columns(TOPIC_ATTRIBUTES, field_paths(links.schema))
     )
@@ -59,14 +58,12 @@ def paper_topics(links: DataFrame) -> DataFrame:
 
 def authors(links: DataFrame) -> DataFrame:
     """One row per author, labelled by the earliest work and authorship."""
-    paths = field_paths(links.schema)
+    columns = _columns(AUTHOR_ATTRIBUTES, field_paths(links.schema))
     rows = links.filter(identified("author.id")).select(
-        F.col("author.id").alias("author_id"),
-        *_columns(AUTHOR_ATTRIBUTES, paths),
-        F.col(WORK_ID).alias("_work"),
-        "_row_id",
+        F.col("author.id").alias("author_id"), *columns, WORK_ID, "_row_id"
     )
-    return first_per_key(rows, ["author_id"], ["_work", "_row_id"]).drop("_work", "_row_id")
+    fields = _own_fields(rows, ("author_id", WORK_ID, "_row_id"))
+    return earliest(rows, ["author_id"], [WORK_ID, "_row_id"], fields)
 
 
 def paper_authors(links: DataFrame) -> DataFrame:
@@ -76,14 +73,14 @@ def paper_authors(links: DataFrame) -> DataFrame:
     rows = links.filter(identified("author.id")).select(
         F.col(WORK_ID).alias("paper_id"), F.col("author.id").alias("author_id"), *attributes, "_row_id"
     )
-    return first_per_key(rows, TABLE_KEYS["paper_authors"], ["_row_id"]).drop("_row_id")
+    return earliest(rows, TABLE_KEYS["paper_authors"], ["_row_id"], attributes)
 
 
 def institutions(links: DataFrame) -> DataFrame:
     """One row per institution, labelled by the earliest work and authorship."""
-    lineage = (WORK_ID, "_parent_id", "_row_id", "pos")
-    order = [F.col(WORK_ID), F.col("_parent_id"), *_fields_order(links, lineage)]
-    rows = first_per_key(links.filter(identified("id")), ["id"], order)
+    lineage = ("id", WORK_ID, "_parent_id", "_row_id", "pos")
+    fields = _own_fields(links, lineage)
+    rows = earliest(links.filter(identified("id")), ["id"], [WORK_ID, "_parent_id"], fields)
     return rows.select(
         F.col("id").alias("institution_id"),
         *_columns(INSTITUTION_ATTRIBUTES, field_paths(links.schema)),
