@@ -40,7 +40,9 @@ def main():
         return store.publish("analytics", views)
 
     def check():
-        return quality.curated_checks(tables) + quality.analytics_checks(tables, views)
+        return quality.curated_checks(tables) + quality.analytics_checks(
+            tables, views, unique_pairs=True
+        )
 
     build_curated()
     seconds["build_curated"], tables = timed(build_curated)
