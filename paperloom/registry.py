@@ -12,6 +12,7 @@ from paperloom.operators.integrity import duplicate_keys, orphans
 from paperloom.plans import analytics, charts, curated, explore, quality
 from paperloom.sources import merge, star
 from paperloom.sources.relations import WORK_ID, Relations, attach_lineage
+from paperloom.sources.works import parse_works
 
 REFERENCE_YEAR = 2005
 
@@ -125,6 +126,37 @@ def lineage_institutions(d: Data) -> DataFrame:
     return curated.paper_institutions(linked.institutions)
 
 
+def read_work_lines(d: Data) -> DataFrame:
+    """One JSON line per order through the strict reader, a tenth of them broken."""
+    key = F.col("o_orderkey")
+    citations = F.floor(F.col("o_totalprice") / 1000).cast("string")
+    record = F.concat(
+        F.lit('{"id":"W'), key, F.lit('","title":"Order '), key,
+        F.lit('","cited_by_count":'), citations,
+        F.lit(',"open_access":{"is_oa":true},"topics":[{"id":"T1","score":0.5},{"id":"T2"}]}'),
+    )
+    broken = ("not json", "[]", '{"id":1}', '{"id":" "}', '{"id":"W1"} tail')
+    line = F.coalesce(*[F.when(key % 50 == i, text) for i, text in enumerate(broken)], record)
+    lines = star.table(d.spark, d.sf_dir, "orders").select("o_orderkey", line.alias("line"))
+    return parse_works(lines).select(
+        "o_orderkey",
+        F.col("work.id").alias("id"),
+        F.col("work.title").alias("title"),
+        F.col("work.cited_by_count").alias("cited_by_count"),
+        F.col("work.topics")[0]["score"].alias("first_score"),
+        "problem",
+    )
+
+
+def select_works(d: Data) -> DataFrame:
+    """The first 300 works of 1997 in id order that carry a keyword."""
+    slug = F.replace(F.coalesce(F.nullif(F.trim("open_access.oa_status"), F.lit("")), F.lit("none")), F.lit(" "), F.lit("-"))
+    keyword = F.struct(F.concat(F.lit("keywords/"), slug).alias("id"))
+    works = d.works().withColumn("keywords", F.array(keyword))
+    found = explore.select_works(works, "urgent", 1997, 300)
+    return found.select("id", "publication_year", "cited_by_count")
+
+
 def merge_latest(d: Data) -> DataFrame:
     """All works, then a fifth of them again with more citations and no topics."""
     key = F.substring("id", 2, 40).cast("long")
@@ -273,6 +305,10 @@ def citation_histogram(d: Data) -> DataFrame:
     )
 
 
+def citation_markers(d: Data) -> DataFrame:
+    return charts.citation_markers(d.papers())
+
+
 def open_access_bars(d: Data) -> DataFrame:
     return charts.open_access_bars(analytics.open_access_summary({"papers": d.papers()})).select(
         "oa_status", "paper_count"
@@ -364,6 +400,8 @@ BUILDERS = {
     "normalize_authorships": normalize_authorships,
     "normalize_institutions": normalize_institutions,
     "lineage_institutions": lineage_institutions,
+    "read_work_lines": read_work_lines,
+    "select_works": select_works,
     "merge_latest": merge_latest,
     "curated_papers": curated_papers,
     "curated_topics": curated_topics,
@@ -397,6 +435,7 @@ BUILDERS = {
     "growth_bars": yearly_trends_view(charts.growth_bars),
     "top_topic_series": top_topic_series,
     "citation_histogram": citation_histogram,
+    "citation_markers": citation_markers,
     "open_access_bars": open_access_bars,
     "orphan_lineage": orphan_lineage,
     "duplicate_grain": duplicate_grain,

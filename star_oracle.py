@@ -133,6 +133,18 @@ SELECTS = {
         "SELECT work_id, authorship_pos, id, display_name, country_code, type FROM i"
     ),
     "lineage_institutions": "FROM paper_institutions",
+    "read_work_lines": """
+        SELECT o_orderkey, CASE WHEN ok THEN 'W' || o_orderkey END AS id,
+          CASE WHEN ok THEN 'Order ' || o_orderkey END AS title,
+          CASE WHEN ok THEN floor(o_totalprice / 1000)::BIGINT END AS cited_by_count,
+          CASE WHEN ok THEN 0.5::DOUBLE END AS first_score,
+          CASE o_orderkey % 50 WHEN 0 THEN 'malformed JSON' WHEN 1 THEN 'expected a JSON object'
+            WHEN 2 THEN 'missing or invalid work id' WHEN 3 THEN 'missing or invalid work id'
+            WHEN 4 THEN 'malformed JSON' END AS problem
+        FROM (SELECT *, o_orderkey % 50 > 4 AS ok FROM orders)""",
+    "select_works": """
+        SELECT paper_id AS id, publication_year, cited_by_count FROM papers
+        WHERE trim(oa_status) = 'urgent' AND publication_year = 1997 ORDER BY paper_id LIMIT 300""",
     "merge_latest": """
         SELECT paper_id AS id, cited_by_count + CASE WHEN k % 5 = 0 THEN 1000 ELSE 0 END AS cited_by_count,
           CASE WHEN k % 5 = 0 THEN 2 ELSE 1 END::BIGINT AS load_seq,
@@ -248,6 +260,7 @@ SELECTS = {
         SELECT bin, round(lower_edge, 9) AS lower_edge, round(upper_edge, 9) AS upper_edge,
           count(*) AS paper_count
         FROM edges JOIN v ON scaled >= lower_edge AND (scaled < upper_edge OR is_last) GROUP BY ALL""",
+    "citation_markers": "SELECT avg(cited_by_count) AS mean, median(cited_by_count) AS median FROM papers",
     "open_access_bars": "SELECT oa_status, paper_count FROM status ORDER BY paper_count DESC, oa_status LIMIT 30",
     "orphan_lineage": """
         SELECT work_id, count(*) AS orphan_rows FROM t
