@@ -118,12 +118,10 @@ def file_key(path: str, root: str) -> str:
 def read_provenance(spark: SparkSession, sidecars: list[str]) -> DataFrame:
     """Sidecars as variants by extraction path; `metadata` is NULL when not an object."""
     text = spark.read.option("wholetext", True).text(sidecars)
-    parsed = sealed_variant(F.col("value"))
+    path = F.regexp_replace(plain_path("_metadata.file_path"), r"\.metadata\.json$", _DATA)
+    parsed = with_json(text.select(path.alias("path"), "value"), "value", "parsed")
     is_object = F.schema_of_variant("parsed").startswith("OBJECT")
-    return text.select(
-        F.regexp_replace(plain_path("_metadata.file_path"), r"\.metadata\.json$", _DATA).alias("path"),
-        parsed.alias("parsed"),
-    ).select("path", F.when(is_object, F.col("parsed")).alias("metadata"))
+    return parsed.select("path", F.when(is_object, F.col("parsed")).alias("metadata"))
 
 
 def plain_path(file_path):
@@ -132,15 +130,23 @@ def plain_path(file_path):
     return F.regexp_replace(decoded, r"^file:/+", "file:/")
 
 
-def sealed_variant(text):
-    """The JSON value a text holds, or NULL when it is not exactly one value.
+def with_json(frame: DataFrame, text: str, name: str) -> DataFrame:
+    """Add the JSON value a text column holds, or NULL when it is not exactly one value.
 
     Spark's parser stops after the first value. The text is therefore parsed as the
     first element of an array closed by a hash of that text: with anything after the
-    value, the hash is not found where it belongs.
+    value, the hash is not found where it belongs. The array is a column of its own,
+    which keeps Spark from parsing again wherever it is used.
     """
     mark = F.xxhash64(text)
-    listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit(","), mark.cast("string"), F.lit("]")))
-    closed = F.try_variant_get(listed, "$[1]", "bigint") == mark
-    return F.when(closed & F.is_valid_utf8(text), F.variant_get(listed, "$[0]", "variant"))
-
+    sealed = F.concat(F.lit("["), F.col(text), F.lit(","), mark.cast("string"), F.lit("]"))
+    whole = F.col("_sealed")
+    closed = F.try_variant_get(whole, "$[1]", "bigint") == mark
+    return (
+        frame.withColumn("_sealed", F.try_parse_json(sealed))
+        .withColumn(
+            name,
+            F.when(closed & F.is_valid_utf8(text), F.variant_get(whole, "$[0]", "variant")),
+        )
+        .drop("_sealed")
+    )

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from paperloom.model import WORK_STRUCT
-from paperloom.sources.files import extraction_of, plain_path, sealed_variant
+from paperloom.sources.files import extraction_of, plain_path, with_json
 
 # A character that is not white space: the Unicode property and four separators.
 _VISIBLE = r"(?U)[^\s\x1C-\x1F]"
@@ -28,7 +28,7 @@ def parse_works(lines: DataFrame) -> DataFrame:
     parsed once. The problem names the rule that failed and never shows content.
     Literals such as NaN and repeated keys count as malformed.
     """
-    parsed = lines.withColumn("_json", sealed_variant(F.col("line")))
+    parsed = with_json(lines, "line", "_json")
     identifier = F.try_variant_get("_json", "$.id", "variant")
     kept = [c for c in lines.columns if c != "line"]
     checked = parsed.withColumn(

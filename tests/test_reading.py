@@ -140,3 +140,10 @@ def test_paths_with_spaces_and_signs(spark, tmp_path):
 
 def test_contract_names_match(spark):
     assert spark.createDataFrame([], WORK_DDL).columns[0] == "id"
+
+
+def test_every_line_is_parsed_once(spark, tmp_path):
+    path = write_extraction(tmp_path, "a", [{"id": "W1"}])
+    rows_of = works.parse_works(works.visible_lines(works.read_lines(spark, [str(path)])))
+    plan = rows_of._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("parseJson") == 1
