@@ -3,15 +3,44 @@
 import hashlib
 
 import pyarrow as pa
-from pyspark.sql import functions as F
 
-from paperloom.llm import linededup, rules
+from paperloom.llm import linededup, neardup, rules, substrings
 
 
 def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_minhash_near_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return neardup.near_duplicates(docs, width=3, percent=85, band_rows=4)
+
+
+def op5_substring_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = substrings.with_spans(docs, substrings.repeated_windows(docs, window=35))
+
+    def digest(batches):
+        for batch in batches:
+            sizes, drops, shas = [], [], []
+            for text, spans in zip(batch.column(1), batch.column(2)):
+                words = (text.as_py() or "").encode().split()
+                if spans.is_valid:
+                    gone = substrings.covered(spans.as_py(), len(words), 35)
+                    left = [word for word, drop in zip(words, gone) if not drop]
+                else:
+                    left = words
+                sizes.append(len(words))
+                drops.append(len(words) - len(left))
+                shas.append(hashlib.sha256(b" ".join(left)).hexdigest())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(drops, pa.int64()), pa.array(shas)],
+                names=["doc_id", "n_words", "n_removed", "kept_sha256"],
+            )
+
+    return marked.mapInArrow(digest, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+
+
 def op7_line_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     marked = linededup.with_bitmaps(docs, linededup.keep_bitmaps(docs, min_documents=10, min_chars=1))
@@ -40,6 +69,8 @@ def op10_quality_rules(spark, sf_dir):
 
 
 QUERIES = {
+    "op3_minhash_near_dedup": op3_minhash_near_dedup,
+    "op5_substring_dedup": op5_substring_dedup,
     "op7_line_dedup": op7_line_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
