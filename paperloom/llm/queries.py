@@ -3,14 +3,43 @@
 import hashlib
 
 import pyarrow as pa
+from pyspark.sql import functions as F
 
-from paperloom.llm import linededup, neardup, rules, substrings
+from paperloom.llm import chat, classifier, fingerprints, linededup, neardup, packing, rules, substrings
 
 
 def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_document_fingerprints(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+
+    def compare(text, mark, following, following_mark):
+        half = len(text) // 2
+        edited = (text[: len(text) - half] + following[:half]).encode()
+        edited_mark = fingerprints.fingerprint(edited)
+        return (
+            len(text),
+            hashlib.sha256(edited).hexdigest(),
+            mark,
+            edited_mark,
+            fingerprints.likeness(mark, edited_mark),
+            fingerprints.likeness(mark, following_mark),
+        )
+
+    return fingerprints.with_next(
+        docs,
+        compare,
+        "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+        "near_edited double, near_next double",
+    )
+
+
+def op2_best_fit_packing(spark, sf_dir):
+    return packing.packed(table(spark, sf_dir, "documents"))
+
+
 def op3_minhash_near_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return neardup.near_duplicates(docs, width=3, percent=85, band_rows=4)
@@ -41,6 +70,19 @@ def op5_substring_dedup(spark, sf_dir):
     return marked.mapInArrow(digest, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
+def op6_quality_classifier(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = classifier.crc_of_id("doc_id") % 5 == 0
+    labels = table(spark, sf_dir, "labels").where(~held_out).select("doc_id", "quality")
+    scored = classifier.scored(docs, classifier.trained(docs, labels))
+    return scored.select(
+        "doc_id",
+        F.coalesce(held_out, F.lit(False)).alias("held_out"),
+        F.col("_pl_score").alias("score"),
+        (F.col("_pl_score") >= classifier.DECISION).cast("int").alias("predicted"),
+    )
+
+
 def op7_line_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     marked = linededup.with_bitmaps(docs, linededup.keep_bitmaps(docs, min_documents=10, min_chars=1))
@@ -61,6 +103,28 @@ def op7_line_dedup(spark, sf_dir):
     return marked.mapInArrow(digest, "doc_id long, n_lines long, n_dropped long, kept_sha256 string")
 
 
+def op8_chat_formatting(spark, sf_dir):
+    conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"),
+        F.col("id").cast(conversations.schema["turn"].dataType).alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"),
+    )
+    found = chat.read_back(chat.examples(conversations.unionByName(probe)))
+    turns = F.array_join(
+        F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""
+    )
+    return found.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(turns, 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
 def op10_quality_rules(spark, sf_dir):
     found = rules.rules(table(spark, sf_dir, "documents"))
     return found.select(
@@ -69,9 +133,13 @@ def op10_quality_rules(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_document_fingerprints": op1_document_fingerprints,
+    "op2_best_fit_packing": op2_best_fit_packing,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op5_substring_dedup": op5_substring_dedup,
+    "op6_quality_classifier": op6_quality_classifier,
     "op7_line_dedup": op7_line_dedup,
+    "op8_chat_formatting": op8_chat_formatting,
     "op10_quality_rules": op10_quality_rules,
 }
 ORACLE = {}
