@@ -2,10 +2,11 @@
 
 import hashlib
 
+import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from paperloom.llm import chat, classifier, fingerprints, linededup, neardup, packing, rules, substrings
+from paperloom.llm import bpe, chat, classifier, fingerprints, linededup, neardup, packing, rules, substrings
 
 
 def table(spark, sf_dir, name):
@@ -45,6 +46,12 @@ def op3_minhash_near_dedup(spark, sf_dir):
     return neardup.near_duplicates(docs, width=3, percent=85, band_rows=4)
 
 
+def op4_byte_bpe(spark, sf_dir, vocabulary=None):
+    path = vocabulary or public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.digests(docs, path, public_tokenizers.PATTERN)
+
+
 def op5_substring_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     marked = substrings.with_spans(docs, substrings.repeated_windows(docs, window=35))
@@ -136,6 +143,7 @@ QUERIES = {
     "op1_document_fingerprints": op1_document_fingerprints,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
+    "op4_byte_bpe": op4_byte_bpe,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_line_dedup": op7_line_dedup,
