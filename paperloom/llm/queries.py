@@ -6,7 +6,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from paperloom.llm import bpe, chat, classifier, fingerprints, linededup, neardup, packing, rules, substrings
+from paperloom.llm import bpe, chat, classifier, extraction, fingerprints, linededup, neardup, packing, rules, substrings
 
 
 def table(spark, sf_dir, name):
@@ -132,6 +132,12 @@ def op8_chat_formatting(spark, sf_dir):
     )
 
 
+def op9_html_extraction(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = extraction.extracted(pages, extraction.trained(pages))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op10_quality_rules(spark, sf_dir):
     found = rules.rules(table(spark, sf_dir, "documents"))
     return found.select(
@@ -148,6 +154,7 @@ QUERIES = {
     "op6_quality_classifier": op6_quality_classifier,
     "op7_line_dedup": op7_line_dedup,
     "op8_chat_formatting": op8_chat_formatting,
+    "op9_html_extraction": op9_html_extraction,
     "op10_quality_rules": op10_quality_rules,
 }
 ORACLE = {}
