@@ -6,7 +6,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from paperloom.llm import bpe, chat, classifier, extraction, fingerprints, linededup, neardup, packing, rules, substrings
+from paperloom.llm import bpe, chat, classifier, extraction, fingerprints, linededup, neardup, oracle, packing, rules, substrings
 
 
 def table(spark, sf_dir, name):
@@ -157,4 +157,12 @@ QUERIES = {
     "op9_html_extraction": op9_html_extraction,
     "op10_quality_rules": op10_quality_rules,
 }
-ORACLE = {}
+ORACLE = {
+    "op3_minhash_near_dedup": oracle.OP3,
+    "op5_substring_dedup": oracle.OP5,
+    "op7_line_dedup": oracle.OP7,
+    "op8_chat_formatting": oracle.OP8,
+    "op10_quality_rules": oracle.quality_rules(
+        rules.MEASURES, rules.SPREAD, rules.LEAST, rules.ERROR, rules.BASE_WORDS, rules.BASE_REPEATS
+    ),
+}
