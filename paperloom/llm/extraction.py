@@ -19,7 +19,7 @@ Defined results: character references are decoded, white space inside a block be
 space, blocks are joined by one line feed; a null or empty page and a page without
 content have the empty text; broken markup is read to its end; repeated rows are read
 alike; an empty table gives an empty table; without labelled pages the potentials are the
-smoothing alone and marks still exclude.
+smoothing alone: marks still exclude, and only what a page names its article is content.
 """
 
 import math
@@ -35,8 +35,8 @@ SAMPLE = 4096
 FRAME, CONTENT, EXCLUDED = 0, 1, 2
 STATES = (FRAME, CONTENT, EXCLUDED)
 SMOOTHING, FLOOR = 0.5, -4.0
-#: added to the counts of states below a state: what is excluded stays so
-EDGE_SMOOTHING = ((1.0, 1.0, 1.0), (1e-3, 1.0, 1.0), (1e-12, 1e-12, 1.0))
+#: added to the counts of states below a state: what is excluded stays so, content mostly does
+EDGE_SMOOTHING = ((1.0, 1.0, 1.0), (1e-3, 50.0, 1.0), (1e-12, 1e-12, 1.0))
 
 #: Names of elements, and words in class, id or role, that mark side parts.
 SIDE_NAMES = set(
@@ -143,6 +143,8 @@ class Model:
             return [0.0, 0.0, 1.0]
         if tree.parent[node] < 0:
             return [1.0, 0.0, 0.0]
+        if tree.name[node] in OWN_NAMES:
+            return [math.exp(FLOOR), 1.0, math.exp(FLOOR)]
         sums = [0.0, 0.0, 0.0]
         for feature in _features(tree, node):
             known = self.feature.get(feature)
