@@ -115,12 +115,16 @@ def _sets(width):
             for chunk in arrays.chunks(batch.column(1)):
                 owners, values = shingle_sets(chunk, width)
                 first = np.searchsorted(owners, np.arange(chunk.rows + 1)).astype(np.int32)
+                short = np.unique(owners.astype(np.int64) << 16 | (values >> np.uint64(48)).astype(np.int64))
+                first_short = np.searchsorted(short >> 16, np.arange(chunk.rows + 1)).astype(np.int32)
+                codes = (short & 0xFFFF).astype(np.uint16).view(np.int16)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(chunk.first_row, chunk.rows),
                         pa.ListArray.from_arrays(first, arrays.signed(values)),
+                        pa.ListArray.from_arrays(first_short, codes),
                     ],
-                    names=["vertex", "shingles"],
+                    names=["vertex", "shingles", "codes"],
                 )
 
     return run
@@ -139,6 +143,35 @@ def _confirmed(pairs, sets, percent):
     return common.where(100 * F.col("common") >= percent * (F.col("both") - F.col("common"))).select("a", "b")
 
 
+def _across(members, percent):
+    """Pairs of one bucket and two components whose short codes do not rule a link out.
+
+    Codes are 16 bits of each shingle's hash, without repeats. Common shingles number at
+    most the common codes and those that repeats hide, so the test, which is part of the
+    join, never drops a link; few other pairs leave the join.
+    """
+    one, other = (
+        members.select(
+            "bucket",
+            F.col("vertex").alias(name),
+            F.col("root").alias(f"root_{name}"),
+            F.col("n").alias(f"n_{name}"),
+            F.col("codes").alias(f"codes_{name}"),
+        )
+        for name in "ab"
+    )
+    hidden = F.least(F.col("n_a") - F.size("codes_a"), F.col("n_b") - F.size("codes_b"))
+    common = F.size(F.array_intersect("codes_a", "codes_b")) + hidden
+    both = F.col("n_a") + F.col("n_b")
+    apart = (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b"))
+    near_size = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+    near = F.when(apart & near_size, (100 + percent) * common >= percent * both).otherwise(False)
+    joined = one.withColumnRenamed("bucket", "bucket_a").join(
+        other, (F.col("bucket_a") == F.col("bucket")) & near
+    )
+    return joined.select("a", "b").distinct()
+
+
 def near_duplicates(docs, width=5, percent=80, band_rows=4, id_column="doc_id", text_column="text"):
     """(doc_id, n_shingles, component_id, kept) of every row.
 
@@ -179,7 +212,7 @@ def near_duplicates(docs, width=5, percent=80, band_rows=4, id_column="doc_id",
     sets = written(
         texts.dropDuplicates(["vertex", "text_hash"])
         .select("vertex", "text")
-        .mapInArrow(_sets(width), "vertex long, shingles array<long>")
+        .mapInArrow(_sets(width), "vertex long, shingles array<long>, codes array<smallint>")
     )
     links = written(_confirmed(pairs, sets, percent))
     roots = connected(links)
@@ -187,10 +220,9 @@ def near_duplicates(docs, width=5, percent=80, band_rows=4, id_column="doc_id",
     placed = shared.select("bucket", "vertex").join(roots, "vertex", "left")
     placed = written(placed.withColumn("root", F.coalesce("root", "vertex")))
     mixed = placed.groupBy("bucket").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1")
-    still = placed.join(mixed.select("bucket"), "bucket")
-    one = still.select("bucket", F.col("vertex").alias("a"), F.col("root").alias("root_a"))
-    other = still.select("bucket", F.col("vertex").alias("b"), F.col("root").alias("root_b"))
-    across = one.join(other, "bucket").where("root_a <> root_b and a < b").select("a", "b").distinct()
+    brief = sets.select("vertex", F.size("shingles").alias("n"), "codes")
+    still = written(placed.join(mixed.select("bucket"), "bucket").join(brief, "vertex"))
+    across = _across(still, percent)
     more = written(_confirmed(across.join(pairs, ["a", "b"], "left_anti"), sets, percent))
     if not more.isEmpty():
         roots = connected(links.union(more))
