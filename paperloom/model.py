@@ -82,7 +82,6 @@ WORK_FIELDS = {
     ),
     "keywords": f"ARRAY<{_LABELLED}>",
 }
-WORK_STRUCT = "STRUCT<" + ", ".join(f"{n}: {t}" for n, t in WORK_FIELDS.items()) + ">"
 WORK_DDL = ", ".join(f"{n} {t}" for n, t in WORK_FIELDS.items())
 
 

@@ -1,65 +1,64 @@
 """Row numbers that no single task has to produce alone."""
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paperloom.operators.hot import HOT_ROWS, hot_keys, split_hot
-from paperloom.session import ensure_checkpoint_dir
-
 # monotonically_increasing_id keeps the partition above, the row below this bit.
 _ROW_BITS = 33
 
 
 def global_row_number(frame: DataFrame, order, name: str) -> DataFrame:
-    """Number all rows 1..n in a total order, as row_number() over the whole table.
+    """Number all rows 1..n by expressions that ascend in a total order.
 
     A plain global window sorts everything in one partition. Here rows are range
-    partitioned on the complete order, so ties on the leading column are split too;
-    each row gets its place inside its partition and the size of the preceding
-    partitions is added. The sorted rows are checkpointed once, because offsets and
-    places must come from the same partitioning, also after an executor is lost.
-    The broadcast side holds one row per partition, whatever the data size.
+    partitioned on the complete order, so ties on the leading expression are split too;
+    a row gets its place inside its partition, and the size of the partitions before is
+    added. The places are persisted on the executors' disks because sizes and rows must
+    come from the same partitioning; partitions lost with an executor are sorted again
+    from the same borders. Nothing runs before the result is asked for, and the broadcast
+    side holds one row per partition, whatever the data size.
+
+    Every column is sorted, so pass only what the number needs and join it back by id.
     """
-    ensure_checkpoint_dir(frame.sparkSession)
+    partitions = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [f"_key{i}" for i in range(len(order))]
+    mark = F.monotonically_increasing_id()
     placed = (
-        frame.orderBy(*order)
-        .withColumn("_mark", F.monotonically_increasing_id())
-        .checkpoint()
-        .withColumn("_part", F.shiftright("_mark", _ROW_BITS))
+        frame.withColumns(dict(zip(keys, order)))
+        .repartitionByRange(partitions, *keys)
+        .sortWithinPartitions(*keys)
+        .withColumns({"_part": F.spark_partition_id(), "_place": mark.bitwiseAND((1 << _ROW_BITS) - 1)})
+        .drop(*keys)
+        .persist(StorageLevel.DISK_ONLY)
     )
     sizes = placed.groupBy("_part").agg(F.count("*").alias("_size"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        "_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")
-    )
-    place = F.col("_mark").bitwiseAND((1 << _ROW_BITS) - 1)
-    return (
-        placed.join(F.broadcast(offsets), "_part")
-        .withColumn(name, F.col("_offset") + place + 1)
-        .drop("_part", "_offset", "_mark")
-    )
+    offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+    number = F.col("_offset") + F.col("_place") + 1
+    return placed.join(F.broadcast(offsets), "_part").withColumn(name, number).select(*frame.columns, name)
 
 
-def ordinal_within(
-    frame: DataFrame, group: str, order, name: str, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def ordinal_within(frame: DataFrame, group: str, order, coarse, name: str) -> DataFrame:
     """Zero-based position of every row inside its group.
 
-    Groups up to `hot_rows` go through an ordinary window. Larger ones are numbered
-    by the distributed global rank, less the rank at which their group starts; the
-    broadcast starts are bounded by rows / hot_rows.
+    `coarse` is an expression that never falls along the order. Rows are numbered per
+    group and coarse value, and the rows of the lower values are added, so a group of any
+    size is spread over as many tasks as it has coarse values.
     """
-    window = Window.partitionBy(group).orderBy(*order)
-    position = (F.row_number().over(window) - 1).cast("long")
-    hot = hot_keys(frame, group, hot_rows)
-    if hot is None:
-        return frame.withColumn(name, position)
-    ordinary, large = split_hot(frame, group, hot)
-    ranked = global_row_number(large, [F.col(group), *order], "_rank")
-    starts = ranked.groupBy(F.col(group).alias("_hot")).agg(F.min("_rank").alias("_start"))
-    numbered = (
-        ranked.join(F.broadcast(starts), F.col(group).eqNullSafe(F.col("_hot")))
-        .withColumn(name, F.col("_rank") - F.col("_start"))
+    cell = frame.withColumns({"_cell": coarse})
+    counts = cell.groupBy(group, "_cell").agg(F.count("*").alias("_rows"))
+    lower = Window.partitionBy(group).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(
+        F.col(group).alias("_group"),
+        F.col("_cell").alias("_at"),
+        F.coalesce(F.sum("_rows").over(lower), F.lit(0)).alias("_start"),
+    )
+    place = F.row_number().over(Window.partitionBy(group, "_cell").orderBy(*order)) - 1
+    same = F.col(group).eqNullSafe(F.col("_group")) & F.col("_cell").eqNullSafe(F.col("_at"))
+    return (
+        cell.withColumn("_place", place)
+        .join(starts, same)
+        .withColumn(name, (F.col("_start") + F.col("_place")).cast("long"))
         .select(*frame.columns, name)
     )
-    return ordinary.withColumn(name, position).unionByName(numbered)

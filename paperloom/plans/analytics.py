@@ -155,15 +155,20 @@ def paper_facts(tables, reference_year: int | None = None) -> DataFrame:
 
 
 def citation_order():
-    return [F.col(CITATIONS).desc_nulls_last(), F.col("paper_id").asc_nulls_last()]
+    """Most cited first, unknown citations last, then by id, as ascending expressions."""
+    return [F.coalesce(-F.col(CITATIONS), F.lit(2**63 - 1)), F.col("paper_id")]
 
 
 def top_papers(tables, reference_year: int | None = None, **_) -> DataFrame:
-    """Every paper with its place by citations; ties resolve by paper id."""
+    """Every paper with its place by citations; ties resolve by paper id.
+
+    Only ids and citations are sorted; the place is joined back by id.
+    """
     facts = paper_facts(tables, reference_year)
     if CITATIONS not in facts.columns:
         return facts
-    return global_row_number(facts, citation_order(), "citation_rank")
+    ranked = global_row_number(facts.select("paper_id", CITATIONS), citation_order(), "citation_rank")
+    return facts.join(ranked.drop(CITATIONS), "paper_id")
 
 
 def author_summary(tables, unique_pairs=False, **_) -> DataFrame:

@@ -12,13 +12,14 @@ from pyspark.sql import types as T
 
 from paperloom.operators.firsts import first_per_key
 
+# The ledgers, their columns and types.
 LEDGERS = {
     "pipeline_runs": (
         "run_id string, started_at timestamp, finished_at timestamp, status string, "
         "raw_files_discovered int, raw_files_processed int, error_stage string, error_message string"
     ),
     "processed_files": (
-        "file_path string, file_hash string, file_size bigint, processed_at timestamp, "
+        "file_path string, file_hash string, file_size bigint, modified bigint, processed_at timestamp, "
         "records_loaded bigint, run_id string"
     ),
     "pipeline_state": "downstream_pending boolean, visualizations_pending boolean",
@@ -131,6 +132,24 @@ class Warehouse:
         listed = F.create_map(*pairs) if pairs else F.lit(None).cast("map<string, string>")
         self.append("layer_versions", row.withColumn("tables", listed).coalesce(1))
 
+    def expire(self, layer: str, keep: int):
+        """Remove version folders before the latest `keep` published ones.
+
+        Readers that still hold an older version lose it, so keep as many as are in use.
+        """
+        if type(keep) is not int or keep < 1:
+            raise ValueError(f"At least one version stays, not {keep!r}")
+        entries = self.entries("layer_versions").filter(F.col("layer") == layer)
+        latest = entries.select("version").distinct().orderBy(F.col("version").desc())
+        oldest = [row["version"] for row in latest.limit(keep).collect()][-1:]
+        if not oldest:
+            return
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{layer}")
+        system = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        for entry in system.globStatus(path.suffix("/v=*")) or []:
+            if int(entry.getPath().getName().removeprefix("v=")) < oldest[0]:
+                system.delete(entry.getPath(), True)
+
     def publish(self, layer: str, tables: dict[str, DataFrame], validate=None):
         """Stage, validate and release a layer; a failed check keeps the previous one."""
         version, staged = self.stage(layer, tables)

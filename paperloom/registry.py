@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 from paperloom.functions.columns import blank_key, doi_link
 from paperloom.functions.text import redact_secrets
-from paperloom.model import TABLE_KEYS
+from paperloom.model import TABLE_KEYS, WORK_FIELDS
+from paperloom.operators.firsts import first_per_key
 from paperloom.operators.integrity import duplicate_keys, orphans
-from paperloom.plans import analytics, charts, curated, explore, quality
+from paperloom.plans import analytics, charts, curated, explore, incremental, quality, rawgate
 from paperloom.sources import merge, star
-from paperloom.sources.relations import WORK_ID, Relations, attach_lineage
+from paperloom.sources.fields import observed_fields
+from paperloom.sources.relations import WORK_ID, Relations, attach_lineage, normalize
 from paperloom.sources.works import parse_works
 
 REFERENCE_YEAR = 2005
@@ -177,6 +179,141 @@ def merge_latest(d: Data) -> DataFrame:
     )
 
 
+def nested_works(d: Data) -> DataFrame:
+    """One nested work per order line, with repeated topics, authors and institutions."""
+    text = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    part, supplier = F.col("l_partkey"), F.col("l_suppkey")
+    topic = lambda number, score: F.struct(
+        text("T", number % 50).alias("id"), text("n", F.col("l_linenumber")).alias("display_name"), score.alias("score")
+    )
+    place = lambda number: F.struct(text("I", number % 25).alias("id"))
+    author = lambda number, position, places: F.struct(
+        F.struct(text("A", number).alias("id")).alias("author"),
+        F.lit(position).alias("author_position"),
+        (F.col("l_returnflag") == "R").alias("is_corresponding"),
+        F.array(*places).alias("institutions"),
+    )
+    line = text("L", F.col("l_orderkey"), "-", F.col("l_linenumber"), "-", part, "-", supplier, "-", F.col("l_shipdate").cast("date").cast("string"))
+    return star.table(d.spark, d.sf_dir, "lineitem").select(
+        line.alias("id"),
+        F.struct(text("T", part % 50).alias("id")).alias("primary_topic"),
+        F.array(
+            topic(part, F.col("l_discount")), topic(supplier, F.col("l_tax")), topic(part, F.col("l_tax"))
+        ).alias("topics"),
+        F.array(
+            author(supplier, "first", [place(supplier), place(part)]),
+            author(part % 10, "last", [place(supplier)]),
+        ).alias("authorships"),
+    )
+
+
+def _normalized(relation, *columns):
+    def run(d: Data) -> DataFrame:
+        return getattr(normalize(nested_works(d)), relation).selectExpr(*columns)
+
+    return run
+
+
+def _nested(table):
+    return lambda d: curated.build_nested(nested_works(d))[table]
+
+
+def observed_paths(d: Data) -> DataFrame:
+    return observed_fields(nested_works(d))
+
+
+def merged_works(d: Data) -> DataFrame:
+    """The load's own merge: all works, then a fifth of them again, each from two files."""
+
+    def records(frame):
+        given = set(frame.columns)
+        kept = [c for c in ("path", "part", "block", "place") if c in given]
+        fields = [(F.col(n) if n in given else F.lit(None)).cast(t).alias(n) for n, t in WORK_FIELDS.items()]
+        return frame.select(*fields, *kept)
+
+    works = d.works().select("id", "title", "cited_by_count")
+    key = F.substring("id", 2, 40).cast("long")
+    again = works.filter(key % 5 == 0)
+    version = lambda path, more: again.select(
+        "id", (F.col("cited_by_count") + more).alias("cited_by_count"), F.lit(path).alias("path"),
+        F.lit(path).alias("part"), F.lit(0).cast("long").alias("block"), key.alias("place"),
+    )
+    batch = version("a", 1).unionAll(version("b", 1000))
+    return incremental.merge(records(works), records(batch)).select("id", "title", "cited_by_count")
+
+
+def mistyped_fields(d: Data) -> DataFrame:
+    """Records whose fields have other JSON types than the contract, read strictly."""
+    key = F.col("o_orderkey")
+    wrong = (
+        '"cited_by_count":"abc"', '"cited_by_count":12.9', '"publication_year":2024.7',
+        '"cited_by_count":99999999999999999999', '"topics":"x"', '"topics":{"id":"T1"}',
+        '"open_access":{"is_oa":"yes"}', '"title":{"a":1}', '"title":"fine","cited_by_count":7',
+    )
+    field = F.coalesce(*[F.when(key % 9 == i, text) for i, text in enumerate(wrong)])
+    line = F.concat(F.lit('{"id":"W'), key, F.lit('",'), field, F.lit("}"))
+    lines = star.table(d.spark, d.sf_dir, "orders").select("o_orderkey", line.alias("line"))
+    return parse_works(lines).select(
+        "o_orderkey",
+        F.array_join("mistyped", ",").alias("mistyped"),
+        F.col("work.title").alias("title"),
+        F.col("work.cited_by_count").alias("cited_by_count"),
+        F.col("work.publication_year").alias("publication_year"),
+        F.col("work.open_access.is_oa").alias("is_oa"),
+    )
+
+
+def raw_gate(d: Data) -> DataFrame:
+    """Six extractions of orders: right, counted wrong, without sidecar object, broken."""
+    key = F.col("o_orderkey")
+    line = F.when(key % 60 == 3, "not json").otherwise(F.concat(F.lit('{"id":"W'), key, F.lit('"}')))
+    lines = star.table(d.spark, d.sf_dir, "orders").select(
+        F.concat(F.lit("f"), key % 6).alias("path"), line.alias("line")
+    )
+    sizes = lines.groupBy("path").agg(F.count("*").alias("n"))
+    told = F.when(F.col("path") == "f1", F.col("n") + 1).otherwise(F.col("n"))
+    provenance = sizes.filter("path <> 'f2'").select(
+        "path", F.parse_json(F.concat(F.lit('{"actual_record_count":'), told, F.lit("}"))).alias("metadata")
+    )
+    listed = sizes.select("path", F.lit(True).alias("sidecar"))
+    checks = rawgate.raw_checks(listed, rawgate.file_counts(parse_works(lines)), provenance)
+    return checks.select("path", "check_name", "status", "observed_value")
+
+
+def _ledger_rows(d: Data) -> DataFrame:
+    return star.table(d.spark, d.sf_dir, "orders").select(
+        F.concat(F.lit("f"), "o_orderkey").alias("file_path"),
+        F.col("o_orderkey").alias("file_size"),
+        F.col("o_custkey").alias("modified"),
+        F.sha2(F.col("o_orderpriority"), 256).alias("file_hash"),
+    )
+
+
+def moved_files(d: Data) -> DataFrame:
+    """A third of the files is new, a quarter of the others has another time."""
+    listed = _ledger_rows(d)
+    known = listed.filter("file_size % 3 <> 0").withColumn(
+        "modified", F.col("modified") + F.when(F.col("file_size") % 4 == 0, 1).otherwise(0)
+    )
+    return incremental.moved_files(listed, known).select("file_path")
+
+
+def changed_files(d: Data) -> DataFrame:
+    listed = _ledger_rows(d)
+    known = listed.filter("file_size % 3 <> 0").withColumn(
+        "file_hash", F.when(F.col("file_size") % 4 == 0, "other").otherwise(F.col("file_hash"))
+    )
+    return incremental.changed_files(listed, known).select("file_path")
+
+
+def latest_entries(d: Data) -> DataFrame:
+    """The last entry of every key of a ledger with many entries per key."""
+    entries = star.table(d.spark, d.sf_dir, "orders").select(
+        F.col("o_custkey").alias("run_id"), F.col("o_orderstatus").alias("status"), F.col("o_orderkey").alias("sequence")
+    )
+    return first_per_key(entries, ["run_id"], [F.col("sequence").desc()])
+
+
 # ------------------------------------------------------------ curated tables
 
 
@@ -231,6 +368,18 @@ def view_topic_history(d: Data) -> DataFrame:
     return explore.view(views, "topic_yearly_trends", topic_id="T7")
 
 
+def _view(name, **options):
+    return lambda d: explore.view({name: d.view(name)}, name, **options)
+
+
+def _topic_detail(part, view):
+    return lambda d: explore.topic_detail({view: d.view(view)}, d.facts(), d.paper_topics(), "T11")[part]
+
+
+def chosen_topic_series(d: Data) -> DataFrame:
+    return charts.topic_series(d.view("topic_yearly_trends"), topic_ids=["T7", "T11", "T13"])
+
+
 def topic_detail_papers(d: Data) -> DataFrame:
     return explore.topic_detail({}, d.facts(), d.paper_topics(), "T11")["papers"]
 
@@ -276,6 +425,13 @@ def redact_log_lines(d: Data) -> DataFrame:
     return documents.select("doc_id", redact_secrets(line).alias("line"))
 
 
+def redact_documents(d: Data) -> DataFrame:
+    """Every whole text, with a secret of its own put behind it, as a digest."""
+    documents = star.table(d.spark, d.sf_dir, "documents")
+    text = F.concat(F.coalesce("text", F.lit("")), F.lit(" Access_Token=t"), "doc_id", F.lit("&end"))
+    return documents.select("doc_id", F.sha2(redact_secrets(text), 256).alias("redacted"))
+
+
 # ------------------------------------------------------------ charts
 
 
@@ -385,6 +541,36 @@ def reconcile_topic_grain(d: Data) -> DataFrame:
     )
 
 
+def _grain(bridge, view, key):
+    def run(d: Data) -> DataFrame:
+        tables = d.tables()
+        number = F.substring("paper_id", 2, 40).cast("long")
+        partial = {**tables, "papers": tables["papers"].filter(number % 30 != 0)}
+        return quality.grain_mismatches(tables[bridge], analytics.BUILDERS[view](partial), key)
+
+    return run
+
+
+def view_counters(d: Data) -> DataFrame:
+    """The counters behind a view's checks, with some citations turned negative."""
+    view = d.view("topic_summary")
+    broken = F.col("topic_id").endswith("7")
+    view = view.withColumn("total_citations", F.when(broken, -F.col("total_citations")).otherwise(F.col("total_citations")))
+    repeated = view.unionAll(view.filter(F.col("topic_id").endswith("11")))
+    probe = quality.view_probe("topic_summary", repeated, d.papers().agg(F.count("*")).scalar())
+    names = {"rows": "rows", "unique": "repeated", "total_citations.nonnegative": "negative", "ranges": "out_of_range"}
+    return probe.select(*[F.col(f"`topic_summary.{k}`").cast("long").alias(v) for k, v in names.items()])
+
+
+def roll_up_results(d: Data) -> DataFrame:
+    key = F.col("o_orderkey")
+    status = F.when(key % 7 == 0, "FAIL").when(key % 5 == 0, "WARN").otherwise("PASS")
+    results = star.table(d.spark, d.sf_dir, "orders").select(
+        F.col("o_orderpriority").alias("layer"), status.alias("status"), F.col("o_orderstatus").alias("check_name")
+    )
+    return quality.roll_up(results)
+
+
 def rank_violations(d: Data) -> DataFrame:
     """Papers whose rank was shifted by one on every hundredth order."""
     key = F.substring("paper_id", 2, 40).cast("long")
@@ -403,6 +589,23 @@ BUILDERS = {
     "read_work_lines": read_work_lines,
     "select_works": select_works,
     "merge_latest": merge_latest,
+    "normalized_topics": _normalized("topics", WORK_ID, "pos", "id", "display_name", "score"),
+    "normalized_authorships": _normalized(
+        "authorships", WORK_ID, "pos", "author.id AS author_id", "author_position", "is_corresponding"
+    ),
+    "normalized_institutions": _normalized(
+        "institutions", WORK_ID, "CAST(_parent_id.pos AS BIGINT) AS authorship_pos", "pos", "id"
+    ),
+    "nested_paper_topics": _nested("paper_topics"),
+    "nested_paper_authors": _nested("paper_authors"),
+    "nested_paper_institutions": _nested("paper_institutions"),
+    "observed_paths": observed_paths,
+    "merged_works": merged_works,
+    "mistyped_fields": mistyped_fields,
+    "raw_gate": raw_gate,
+    "moved_files": moved_files,
+    "changed_files": changed_files,
+    "latest_entries": latest_entries,
     "curated_papers": curated_papers,
     "curated_topics": curated_topics,
     "curated_paper_topics": curated_paper_topics,
@@ -418,6 +621,15 @@ BUILDERS = {
     "papers_combined": _papers(year=1999, topic_id="T1139", min_citations=200, oa_status="low"),
     "papers_sorted_by_title": _papers(sort="title"),
     "view_topic_history": view_topic_history,
+    "view_overview": _view("overview_kpis"),
+    "view_publication_trends": _view("publication_trends"),
+    "view_topics": _view("topic_summary"),
+    "view_topic_years": _view("topic_yearly_trends", limit=10_000),
+    "view_authors": _view("author_summary"),
+    "view_institutions": _view("institution_summary"),
+    "view_open_access": _view("open_access_summary"),
+    "topic_detail_summary": _topic_detail("summary", "topic_summary"),
+    "topic_detail_history": _topic_detail("history", "topic_yearly_trends"),
     "topic_detail_papers": topic_detail_papers,
     "top_topics": _top("topic_summary", "topic_id", 20),
     "top_authors": _top("author_summary", "author_id", 20),
@@ -431,9 +643,11 @@ BUILDERS = {
     "doi_links": doi_links,
     "inspect_samples": inspect_samples,
     "redact_log_lines": redact_log_lines,
+    "redact_documents": redact_documents,
     "series_with_gaps": series_with_gaps,
     "growth_bars": yearly_trends_view(charts.growth_bars),
     "top_topic_series": top_topic_series,
+    "chosen_topic_series": chosen_topic_series,
     "citation_histogram": citation_histogram,
     "citation_markers": citation_markers,
     "open_access_bars": open_access_bars,
@@ -445,6 +659,10 @@ BUILDERS = {
     "coverage": coverage,
     "reconcile_totals": reconcile_totals,
     "reconcile_topic_grain": reconcile_topic_grain,
+    "reconcile_author_grain": _grain("paper_authors", "author_summary", "author_id"),
+    "reconcile_institution_grain": _grain("paper_institutions", "institution_summary", "institution_id"),
+    "view_counters": view_counters,
+    "roll_up_results": roll_up_results,
     "rank_violations": rank_violations,
 }
 

@@ -42,9 +42,10 @@ def _glob(spark, pattern):
 
 
 def discover(spark: SparkSession, raw_dir: str) -> list[Extraction]:
-    """Completed extractions by path. A listing only: two calls, no content, no job.
+    """Completed extractions by path, from listings only: no content, no job.
 
-    The file system is asked directly because Spark's own listing hides empty files.
+    The file system is asked directly because Spark's own listing hides empty files. A
+    folder's size and time are those of its parts, so a part rewritten in place shows.
     """
     folder = raw_dir.rstrip("/")
     sidecars, _ = _glob(spark, f"{folder}/*{_SIDECAR}")
@@ -54,9 +55,11 @@ def discover(spark: SparkSession, raw_dir: str) -> list[Extraction]:
         sidecar = path.removesuffix(_DATA) + _SIDECAR
         if sidecar not in sidecars or sidecars[sidecar].isDirectory():
             continue
-        folder_like = entry.isDirectory()
-        size = system.getContentSummary(entry.getPath()).getLength() if folder_like else entry.getLen()
-        found.append(Extraction(path, size, entry.getModificationTime(), sidecar))
+        parts = [entry]
+        if entry.isDirectory():
+            parts += [p for p in system.listStatus(entry.getPath()) if not p.isDirectory()]
+        size = sum(p.getLen() for p in parts if not p.isDirectory())
+        found.append(Extraction(path, size, max(p.getModificationTime() for p in parts), sidecar))
     return found
 
 
@@ -74,13 +77,13 @@ def resolve_input(spark: SparkSession, raw_dir: str, path: str | None = None) ->
     if path is None:
         newest = latest_input(spark, raw_dir)
         if newest is None:
-            raise FileNotFoundError(f"No completed extraction in {raw_dir}")
+            raise FileNotFoundError(f"{raw_dir} holds no extraction with a sidecar")
         return newest.path
     if not path.lower().endswith(_DATA):
-        raise ValueError("Input must be a .jsonl extraction, not a metadata sidecar")
+        raise ValueError(f"{path} does not end in {_DATA}")
     target, system = _file_system(spark, path)
     if not system.exists(target):
-        raise FileNotFoundError(f"Extraction not found: {path}")
+        raise FileNotFoundError(f"{path} does not exist")
     return path
 
 

@@ -4,7 +4,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.operators.firsts import first_per_key
-from paperloom.operators.hot import join_parent
 from paperloom.sources.relations import WORK_ID
 
 
@@ -21,5 +20,5 @@ def latest_works(history: DataFrame, order=("load_seq",)) -> DataFrame:
 def children_of(current: DataFrame, children: DataFrame) -> DataFrame:
     """Child rows that came with the current version of their work."""
     versions = current.select(F.col("id").alias(WORK_ID), F.col("load_seq").alias("_current"))
-    linked = join_parent(children, versions, WORK_ID)
+    linked = children.join(versions, WORK_ID)
     return linked.filter(F.col("load_seq") == F.col("_current")).drop("_current")

@@ -90,7 +90,7 @@ def attach_lineage(relations: Relations) -> Relations:
     for name, names in required.items():
         frame = getattr(relations, name)
         if frame is not None and not names <= set(frame.columns):
-            raise LineageError(f"{name}: missing lineage columns")
+            raise LineageError(f"{name} has no {', '.join(sorted(names - set(frame.columns)))}")
     works, topics = relations.works, relations.topics
     authorships, institutions = relations.authorships, relations.institutions
     for name, child, parent in (
@@ -102,7 +102,7 @@ def attach_lineage(relations: Relations) -> Relations:
             continue
         lost = not child.isEmpty() if parent is None else not orphans(child, parent).isEmpty()
         if lost:
-            raise LineageError(f"orphan lineage in {name}")
+            raise LineageError(f"{name} holds rows whose parent does not exist")
 
     has_primary = "primary_topic.id" in field_paths(works.schema)
     carried = [F.col("id").alias(WORK_ID)]

@@ -3,7 +3,6 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.operators.hot import join_parent
 from paperloom.operators.ranking import ordinal_within
 from paperloom.sources.relations import WORK_ID, WORK_PRIMARY, Relations
 
@@ -84,7 +83,7 @@ def topics(spark, sf_dir, with_primary: bool = False, with_position: bool = Fals
         primary = primary_topics(spark, sf_dir).select(
             F.col("o_orderkey").alias("l_orderkey"), F.col("primary_topic.id").alias(WORK_PRIMARY)
         )
-        lines = join_parent(lines, primary, "l_orderkey")
+        lines = lines.join(primary, "l_orderkey")
     parts = table(spark, sf_dir, "part")
     return lines.join(parts, lines["l_partkey"] == parts["p_partkey"]).select(
         work_id("l_orderkey").alias(WORK_ID),
@@ -100,7 +99,8 @@ def topics(spark, sf_dir, with_primary: bool = False, with_position: bool = Fals
 
 
 def _positioned(lines: DataFrame) -> DataFrame:
-    return ordinal_within(lines, "l_orderkey", [F.col(c) for c in LINE_ORDER], "pos")
+    coarse = F.floor(F.col("l_linenumber") / 1000)
+    return ordinal_within(lines, "l_orderkey", [F.col(c) for c in LINE_ORDER], coarse, "pos")
 
 
 def authorships(spark, sf_dir, with_position: bool = False) -> DataFrame:

@@ -2,8 +2,9 @@
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from paperloom.model import WORK_STRUCT
+from paperloom.model import WORK_DDL
 from paperloom.sources.files import extraction_of, plain_path, with_json
 
 # A character that is not white space: the Unicode property and four separators.
@@ -26,7 +27,9 @@ def parse_works(lines: DataFrame) -> DataFrame:
 
     A line must hold one JSON object whose id is a nonblank string. Every line is
     parsed once. The problem names the rule that failed and never shows content.
-    Literals such as NaN and repeated keys count as malformed.
+    Literals such as NaN and repeated keys count as malformed. A field whose value has
+    another JSON type than the contract is named in `mistyped` and left out of the work:
+    nothing is cut, rounded or read as something else.
     """
     parsed = with_json(lines, "line", "_json")
     identifier = F.try_variant_get("_json", "$.id", "variant")
@@ -39,14 +42,60 @@ def parse_works(lines: DataFrame) -> DataFrame:
         ),
     )
     problem = (
-        F.when(F.col("_json").isNull(), "malformed JSON")
+        F.when(F.col("_json").isNull(), "not one JSON value")
         .when(F.coalesce(F.col("_id").rlike(_VISIBLE), F.lit(False)), None)
-        .when(F.schema_of_variant("_json").startswith("OBJECT"), "missing or invalid work id")
-        .otherwise("expected a JSON object")
+        .when(F.schema_of_variant("_json").startswith("OBJECT"), "id is no visible text")
+        .otherwise("not an object")
     )
     checked = checked.withColumn("problem", problem)
-    work = F.when(F.col("problem").isNull(), F.try_variant_get("_json", "$", WORK_STRUCT))
-    return checked.select(*kept, work.alias("work"), "problem")
+    wrong = F.array_compact(
+        F.array(*[F.when(~_fits(path, kind), F.lit(path)) for path, kind in contract_types().items()])
+    )
+    checked = checked.withColumn("mistyped", F.when(F.col("problem").isNull(), wrong).otherwise(F.array()))
+    columns = [_typed(field).alias(field.name) for field in T.StructType.fromDDL(WORK_DDL).fields]
+    work = F.when(F.col("problem").isNull(), F.struct(*columns))
+    return checked.select(*kept, work.alias("work"), "problem", "mistyped")
+
+
+def contract_types() -> dict[str, T.DataType]:
+    """The type of every field outside arrays; an array counts as one value."""
+    found = {}
+
+    def walk(fields, prefix):
+        for field in fields:
+            found[prefix + field.name] = field.dataType
+            if isinstance(field.dataType, T.StructType):
+                walk(field.dataType.fields, f"{prefix}{field.name}.")
+
+    walk(T.StructType.fromDDL(WORK_DDL).fields, "")
+    return found
+
+
+def _kind_of(path):
+    return F.schema_of_variant(F.try_variant_get("_json", f"$.{path}", "variant"))
+
+
+def _fits(path, data_type):
+    """Whether a value is absent, null or of the contract's JSON type."""
+    kind = _kind_of(path)
+    if isinstance(data_type, T.StructType):
+        good = kind.startswith("OBJECT")
+    elif isinstance(data_type, T.ArrayType):
+        good = kind.startswith("ARRAY")
+    else:
+        names = {"string": ["STRING"], "bigint": ["BIGINT"], "boolean": ["BOOLEAN"]}
+        good = kind.isin(names[data_type.simpleString()])
+    return F.coalesce(good | (kind == "VOID"), F.lit(True))
+
+
+def _typed(field, prefix=""):
+    """A field's value where it has the contract's type, NULL elsewhere."""
+    path = prefix + field.name
+    if isinstance(field.dataType, T.StructType):
+        inner = [_typed(f, f"{path}.").alias(f.name) for f in field.dataType.fields]
+        return F.when(_kind_of(path).startswith("OBJECT"), F.struct(*inner))
+    value = F.try_variant_get("_json", f"$.{path}", field.dataType.simpleString())
+    return F.when(_fits(path, field.dataType), value)
 
 
 def visible_lines(lines: DataFrame) -> DataFrame:

@@ -124,7 +124,107 @@ def _sample(name, keys):
     )
 
 
+_LINE = "'L' || l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey || '-' || l_shipdate::DATE::VARCHAR"
+_NESTED = f"""
+        , nt AS (
+          SELECT {_LINE} AS work_id, unnest([0, 1, 2])::BIGINT AS pos,
+            unnest(['T' || l_partkey % 50, 'T' || l_suppkey % 50, 'T' || l_partkey % 50]) AS id,
+            'n' || l_linenumber AS display_name, unnest([l_discount, l_tax, l_tax]) AS score,
+            'T' || l_partkey % 50 AS primary_id
+          FROM lineitem
+        ), na AS (
+          SELECT {_LINE} AS work_id, unnest([0, 1])::BIGINT AS pos,
+            unnest(['A' || l_suppkey, 'A' || l_partkey % 10]) AS author_id,
+            unnest(['first', 'last']) AS author_position, l_returnflag = 'R' AS is_corresponding
+          FROM lineitem
+        ), ni AS (
+          SELECT {_LINE} AS work_id, unnest([0, 0, 1])::BIGINT AS authorship_pos, unnest([0, 1, 0])::BIGINT AS pos,
+            unnest(['I' || l_suppkey % 25, 'I' || l_partkey % 25, 'I' || l_suppkey % 25]) AS id
+          FROM lineitem
+        )
+        """
+
+
+def _grain(bridge, key):
+    return f"""
+        SELECT {key}, whole.n AS expected, part.n AS actual
+        FROM (SELECT {key}, count(*) AS n FROM {bridge} GROUP BY 1) whole
+        LEFT JOIN (SELECT {key}, count(*) AS n FROM {bridge} JOIN papers USING (paper_id)
+                   WHERE k % 30 <> 0 GROUP BY 1) part USING ({key})
+        WHERE part.n IS DISTINCT FROM whole.n"""
+
+
 SELECTS = {
+    "normalized_topics": _NESTED + "SELECT work_id, pos, id, display_name, score FROM nt",
+    "normalized_authorships": _NESTED + "SELECT * FROM na",
+    "normalized_institutions": _NESTED + "SELECT * FROM ni",
+    "nested_paper_topics": _NESTED + """
+        SELECT work_id AS paper_id, id AS topic_id, max(score) AS topic_score,
+          bool_or(id = primary_id) AS is_primary_topic FROM nt GROUP BY ALL""",
+    "nested_paper_authors": _NESTED + """
+        SELECT work_id AS paper_id, author_id, arg_min(author_position, pos) AS author_position,
+          arg_min(is_corresponding, pos) AS is_corresponding FROM na GROUP BY ALL""",
+    "nested_paper_institutions": _NESTED + "SELECT DISTINCT work_id AS paper_id, id AS institution_id FROM ni",
+    "observed_paths": """
+        SELECT 'works' AS relation, unnest(['id', 'primary_topic.id', 'topics.*', 'topics.*.id',
+          'topics.*.display_name', 'topics.*.score', 'authorships.*', 'authorships.*.author.id',
+          'authorships.*.author_position', 'authorships.*.is_corresponding', 'authorships.*.institutions.*',
+          'authorships.*.institutions.*.id']) AS path""",
+    "merged_works": """
+        SELECT paper_id AS id, CASE WHEN k % 5 <> 0 THEN title END AS title,
+          cited_by_count + CASE WHEN k % 5 = 0 THEN 1000 ELSE 0 END AS cited_by_count FROM papers""",
+    "mistyped_fields": """
+        SELECT o_orderkey, CASE o_orderkey % 9 WHEN 0 THEN 'cited_by_count' WHEN 1 THEN 'cited_by_count'
+            WHEN 2 THEN 'publication_year' WHEN 3 THEN 'cited_by_count' WHEN 4 THEN 'topics' WHEN 5 THEN 'topics'
+            WHEN 6 THEN 'open_access.is_oa' WHEN 7 THEN 'title' ELSE '' END AS mistyped,
+          CASE WHEN o_orderkey % 9 = 8 THEN 'fine' END AS title,
+          CASE WHEN o_orderkey % 9 = 8 THEN 7::BIGINT END AS cited_by_count,
+          NULL::BIGINT AS publication_year, NULL::BOOLEAN AS is_oa
+        FROM orders""",
+    "raw_gate": """
+        , f AS (SELECT o_orderkey % 6 AS p, count(*) AS n FROM orders GROUP BY 1)
+        SELECT 'f' || p AS path, 'raw.identity_json' AS check_name,
+          CASE WHEN p = 3 THEN 'FAIL' ELSE 'PASS' END AS status,
+          CASE WHEN p = 3 THEN 'invalid' ELSE n::VARCHAR END AS observed_value FROM f
+        UNION ALL SELECT 'f' || p, 'raw.nonempty', 'PASS', n::VARCHAR FROM f WHERE p <> 3
+        UNION ALL SELECT 'f' || p, 'raw.metadata', 'FAIL', 'invalid' FROM f WHERE p = 2
+        UNION ALL SELECT 'f' || p, 'raw.actual_record_count', CASE WHEN p = 1 THEN 'FAIL' ELSE 'PASS' END,
+          (n + CASE WHEN p = 1 THEN 1 ELSE 0 END)::VARCHAR FROM f WHERE p NOT IN (2, 3)""",
+    "moved_files": "SELECT 'f' || o_orderkey AS file_path FROM orders WHERE o_orderkey % 3 = 0 OR o_orderkey % 4 = 0",
+    "changed_files": "SELECT 'f' || o_orderkey AS file_path FROM orders WHERE o_orderkey % 3 = 0 OR o_orderkey % 4 = 0",
+    "latest_entries": """
+        SELECT o_custkey AS run_id, arg_max(o_orderstatus, o_orderkey) AS status, max(o_orderkey) AS sequence
+        FROM orders GROUP BY 1""",
+    "view_publication_trends": "FROM publication_trends",
+    "view_topics": "SELECT * FROM topic_summary ORDER BY paper_count DESC, topic_id LIMIT 500",
+    "view_topic_years": "SELECT * FROM topic_yearly_trends ORDER BY publication_year, topic_id LIMIT 10000",
+    "view_authors": "SELECT * FROM author_summary ORDER BY paper_count DESC, author_id LIMIT 500",
+    "view_institutions": "FROM institution_summary",
+    "view_open_access": """
+        SELECT oa_status, paper_count,
+          100.0 * paper_count / (SELECT count(*) FROM papers) AS percentage_of_papers FROM status""",
+    "topic_detail_summary": "SELECT * FROM topic_summary WHERE topic_id = 'T11'",
+    "topic_detail_history": "SELECT * FROM topic_yearly_trends WHERE topic_id = 'T11'",
+    "redact_documents": r"""
+        SELECT doc_id, sha256(regexp_replace(coalesce(text, '') || ' Access_Token=t' || doc_id || '&end',
+          '((?:api_key|access_token|password)=)[^\s\x1C-\x1F&]+', '\1[REDACTED]', 'gi')) AS redacted
+        FROM documents""",
+    "chosen_topic_series": """
+        SELECT publication_year, topic_id, topic_name, paper_count FROM topic_years
+        WHERE topic_id IN ('T7', 'T11', 'T13') QUALIFY count(*) OVER (PARTITION BY topic_id) >= 2""",
+    "reconcile_author_grain": _grain("paper_authors", "author_id"),
+    "reconcile_institution_grain": _grain("paper_institutions", "institution_id"),
+    "view_counters": """
+        SELECT count(*) + count(*) FILTER (topic_id LIKE '%11') AS rows,
+          count(*) FILTER (topic_id LIKE '%11') AS repeated,
+          count(*) FILTER (topic_id LIKE '%7' AND total_citations > 0) AS negative,
+          0::BIGINT AS out_of_range
+        FROM topic_summary""",
+    "roll_up_results": """
+        SELECT o_orderpriority AS layer, count(*) FILTER (o_orderkey % 7 <> 0 AND o_orderkey % 5 <> 0) AS "PASS",
+          count(*) FILTER (o_orderkey % 7 <> 0 AND o_orderkey % 5 = 0) AS "WARN",
+          count(*) FILTER (o_orderkey % 7 = 0) AS "FAIL"
+        FROM orders GROUP BY 1""",
     "normalize_topics": "SELECT work_id, pos, id, display_name, score, subfield_id, field_id FROM t",
     "normalize_authorships": (
         "SELECT work_id, pos, author_id, author_name, author_position, is_corresponding FROM a"
@@ -138,9 +238,9 @@ SELECTS = {
           CASE WHEN ok THEN 'Order ' || o_orderkey END AS title,
           CASE WHEN ok THEN floor(o_totalprice / 1000)::BIGINT END AS cited_by_count,
           CASE WHEN ok THEN 0.5::DOUBLE END AS first_score,
-          CASE o_orderkey % 50 WHEN 0 THEN 'malformed JSON' WHEN 1 THEN 'expected a JSON object'
-            WHEN 2 THEN 'missing or invalid work id' WHEN 3 THEN 'missing or invalid work id'
-            WHEN 4 THEN 'malformed JSON' END AS problem
+          CASE o_orderkey % 50 WHEN 0 THEN 'not one JSON value' WHEN 1 THEN 'not an object'
+            WHEN 2 THEN 'id is no visible text' WHEN 3 THEN 'id is no visible text'
+            WHEN 4 THEN 'not one JSON value' END AS problem
         FROM (SELECT *, o_orderkey % 50 > 4 AS ok FROM orders)""",
     "select_works": """
         SELECT paper_id AS id, publication_year, cited_by_count FROM papers
@@ -306,4 +406,5 @@ SELECTS = {
 
 # Queries that need none of the shared relations but scan much are still given them:
 # DuckDB evaluates only the relations a statement refers to.
+SELECTS["view_overview"] = SELECTS["overview_kpis"]
 ORACLE = {name: BASE + select for name, select in SELECTS.items()}

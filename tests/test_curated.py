@@ -17,16 +17,16 @@ INSTITUTION_TYPE = "id string, _parent_id string, display_name string"
 def relations(spark, **replaced):
     """Four relations linked by row ids, as an external normalizer delivers them."""
     data = {
-        "works": ([("W1", "r1", "One", 2025, ("T1",)), ("W2", "r2", None, None, None)], WORK_TYPE),
+        "works": ([("X1", "u1", "Delta", 2012, ("Y1",)), ("X2", "u2", None, 2013, None)], WORK_TYPE),
         "topics": (
-            [("T1", "r1", "Topic", 0.8), ("T1", "r1", "Topic", 0.9), ("T1", "r2", "Topic", 0.7)],
+            [("Y1", "u1", "River", 0.25), ("Y2", "u1", "Sea", 0.1), ("Y1", "u1", "River", 0.5), ("Y1", "u2", "River", 0.75)],
             TOPIC_TYPE,
         ),
         "authorships": (
-            [(("A1", "Author"), "a1", "r1"), (("A1", "Author"), "a2", "r1"), (("A1", "Author"), "a3", "r2")],
+            [(("Z1", "Kim"), "b1", "u1"), (("Z2", "Lee"), "b2", "u1"), (("Z1", "Kim"), "b3", "u2")],
             AUTHOR_TYPE,
         ),
-        "institutions": ([("I1", "a1", "University"), ("I1", "a2", "University")], INSTITUTION_TYPE),
+        "institutions": ([("V1", "b1", "College"), ("V1", "b2", "College"), ("V2", "b3", "Lab")], INSTITUTION_TYPE),
     }
     data |= replaced
     return Relations(**{k: v and spark.createDataFrame(*v) for k, v in data.items()})
@@ -41,14 +41,16 @@ def sizes(tables):
 
 
 EXPECTED = dict(
-    papers=2, topics=1, paper_topics=2, authors=1, paper_authors=2, institutions=1, paper_institutions=1
+    papers=2, topics=2, paper_topics=3, authors=2, paper_authors=3, institutions=2, paper_institutions=2
 )
 
 
 def test_counts_scores_and_repeatability(spark):
     first, second = build(spark), build(spark)
     assert sizes(first) == EXPECTED
-    assert rows(first["paper_topics"]) == [("W1", "T1", 0.9, True), ("W2", "T1", 0.7, None)]
+    assert rows(first["paper_topics"]) == [
+        ("X1", "Y1", 0.5, True), ("X1", "Y2", 0.1, False), ("X2", "Y1", 0.75, None),
+    ]
     for name in TABLE_KEYS:
         assert first[name].exceptAll(second[name]).isEmpty()
         assert second[name].exceptAll(first[name]).isEmpty()
@@ -66,7 +68,7 @@ def test_optional_columns_follow_the_sources(spark):
 def test_institution_survives_an_unknown_author(spark):
     tables = build(
         spark,
-        authorships=([("a1", "r1"), ("a2", "r1")], "_row_id string, _parent_id string"),
+        authorships=([("b1", "u1"), ("b2", "u1"), ("b3", "u2")], "_row_id string, _parent_id string"),
     )
     assert sizes(tables) == EXPECTED | dict(authors=0, paper_authors=0)
     assert tables["authors"].columns == ["author_id"]
@@ -79,34 +81,34 @@ def test_absent_children_give_empty_tables(spark):
 
 
 def test_blank_and_missing_ids_are_left_out(spark):
-    topics = [("T1", "r1", "Topic", 0.8), (" ", "r1", "Blank", 0.9), (None, "r2", "None", 0.7)]
+    topics = [("Y1", "u1", "River", 0.5), (" ", "u1", "Blank", 0.6), (None, "u2", "None", 0.4)]
     tables = build(spark, topics=(topics, TOPIC_TYPE))
-    assert rows(tables["paper_topics"], "paper_id", "topic_id") == [("W1", "T1")]
+    assert rows(tables["paper_topics"], "paper_id", "topic_id") == [("X1", "Y1")]
 
 
 def test_orphans_and_missing_lineage_are_refused(spark):
     for name, frame in (
-        ("topics", ([("T1", "lost", "Topic", 0.8)], TOPIC_TYPE)),
-        ("topics", ([("T1", None, "Topic", 0.8)], TOPIC_TYPE)),
-        ("authorships", ([(("A1", "x"), "a1", "lost")], AUTHOR_TYPE)),
-        ("institutions", ([("I1", "lost", "x")], INSTITUTION_TYPE)),
-        ("topics", ([("T1",)], "id string")),
+        ("topics", ([("Y1", "u9", "River", 0.5)], TOPIC_TYPE)),
+        ("topics", ([("Y1", None, "River", 0.5)], TOPIC_TYPE)),
+        ("authorships", ([(("Z1", "Kim"), "b1", "u9")], AUTHOR_TYPE)),
+        ("institutions", ([("V1", "b9", "Lab")], INSTITUTION_TYPE)),
+        ("topics", ([("Y1",)], "id string")),
     ):
         with pytest.raises(LineageError):
             build(spark, **{name: frame})
 
 
 def test_duplicate_works_stay_for_the_check_to_find(spark):
-    twice = [("W1", "r1", "One", 2025, None), ("W1", "r2", "One", 2025, None)]
+    twice = [("X1", "u1", "Delta", 2012, None), ("X1", "u2", "Delta", 2012, None)]
     tables = build(spark, works=(twice, WORK_TYPE), topics=None, authorships=None, institutions=None)
     failed = {r.check_name for r in quality.curated_checks(tables) if r.status == quality.FAIL}
     assert failed == {"papers.unique"}
 
 
 def test_representative_comes_from_the_earliest_work(spark):
-    topics = [("T1", "r2", "Later", 0.1), ("T1", "r1", "B", 0.2), ("T1", "r1", "A", 0.3)]
+    topics = [("Y1", "u2", "Later", 0.1), ("Y1", "u1", "B", 0.2), ("Y1", "u1", "A", 0.3)]
     tables = build(spark, topics=(topics, TOPIC_TYPE))
-    assert rows(tables["topics"]) == [("T1", "A")]
+    assert rows(tables["topics"]) == [("Y1", "A")]
 
 
 # ------------------------------------------------------------ nested works

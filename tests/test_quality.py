@@ -27,16 +27,16 @@ def test_coverage_and_status(spark, layer):
     quality.enforce(results)
     observed = {r.check_name: r.observed_value for r in results if r.layer == "coverage"}
     assert observed == {
-        "coverage.doi": "33.33",
-        "coverage.primary_topic": "66.67",
-        "coverage.title": "66.67",
-        "coverage.oa_information": "66.67",
-        "coverage.authors": "66.67",
-        "coverage.institutions": "33.33",
+        "coverage.doi": "25.0",
+        "coverage.primary_topic": "50.0",
+        "coverage.title": "75.0",
+        "coverage.oa_information": "50.0",
+        "coverage.authors": "50.0",
+        "coverage.institutions": "25.0",
         "coverage.publication_years": "2",
     }
     row = quality.coverage(tables).first()
-    assert (row["doi"], row["authors"], row["publication_years"]) == (33.33, 66.67, 2)
+    assert (row["doi"], row["authors"], row["publication_years"]) == (25.0, 50.0, 2)
     frame = quality.results_frame(spark, results)
     assert rows(quality.roll_up(frame), "layer", "FAIL") == [("analytics", 0), ("coverage", 0), ("curated", 0)]
     assert quality.overall(results) == "WARN"
@@ -48,10 +48,10 @@ def test_coverage_and_status(spark, layer):
 def test_broken_tables_fail(spark, layer):
     tables, _ = layer
     papers = tables["papers"]
-    first = papers.filter("paper_id = 'W1'")
+    first = papers.filter("paper_id = 'M1'")
     broken = papers.withColumn(
-        "cited_by_count", F.when(F.col("paper_id") == "W2", -1).otherwise(F.col("cited_by_count"))
-    ).withColumn("paper_id", F.when(F.col("paper_id") != "W3", F.col("paper_id")))
+        "cited_by_count", F.when(F.col("paper_id") == "M2", -1).otherwise(F.col("cited_by_count"))
+    ).withColumn("paper_id", F.when(F.col("paper_id") != "M3", F.col("paper_id")))
     links = tables["paper_topics"]
     lost = links.limit(1).withColumn("paper_id", F.lit("missing"))
     changed = {
@@ -83,7 +83,7 @@ def test_wrong_views_fail(spark, layer):
     wrong = {
         **views,
         "overview_kpis": spark.sql("SELECT 999 total_papers, -1 total_citations, 150 open_access_percentage"),
-        "author_summary": spark.sql("SELECT 'A1' author_id, 999 paper_count"),
+        "author_summary": spark.sql("SELECT 'N1' author_id, 999 paper_count"),
     }
     assert failed(quality.analytics_checks(tables, wrong)) == {
         "analytics.reconciliation",
@@ -95,9 +95,9 @@ def test_each_reconciliation_rule(spark, layer):
     tables, views = layer
     more = lambda c: F.col(c) + 1
     for name, change in {
-        "publication_trends": lambda v: v.filter("publication_year <> 2024"),
-        "open_access_summary": lambda v: v.filter("oa_status <> 'gold'"),
-        "topic_summary": lambda v: v.filter("topic_id <> 'T2'"),
+        "publication_trends": lambda v: v.filter("publication_year <> 2016"),
+        "open_access_summary": lambda v: v.filter("oa_status <> 'diamond'"),
+        "topic_summary": lambda v: v.filter("topic_id <> 'S2'"),
         "author_summary": lambda v: v.withColumn("open_access_percentage", F.lit(100.5)),
         "institution_summary": lambda v: v.withColumn("average_citations", F.lit(float("nan"))),
         "top_papers": lambda v: v.withColumn("citation_rank", more("citation_rank")),
@@ -130,7 +130,7 @@ def test_missing_coverage_columns_count_as_zero(layer):
     tables, _ = layer
     results = quality.curated_checks({**tables, "papers": tables["papers"].select("paper_id", "title")})
     observed = {r.check_name: r.observed_value for r in results if r.layer == "coverage"}
-    assert observed["coverage.doi"] == "0.0" and observed["coverage.title"] == "66.67"
+    assert observed["coverage.doi"] == "0.0" and observed["coverage.title"] == "75.0"
     assert observed["coverage.publication_years"] == "0"
 
 

@@ -14,8 +14,8 @@ def parsed(spark, *lines):
 
 
 def test_valid_records_keep_nested_structure(spark):
-    found = parsed(spark, '{"id":"W1","title":"研究","topics":null}', '{"id":"W2","topics":[{"id":"T1","score":1}]}')
-    assert found[0]["problem"] is None and found[0]["work"]["title"] == "研究"
+    found = parsed(spark, '{"id":"W1","title":"Über Maß","topics":null}', '{"id":"W2","topics":[{"id":"T1","score":1}]}')
+    assert found[0]["problem"] is None and found[0]["work"]["title"] == "Über Maß"
     assert found[0]["work"]["topics"] is None
     assert found[1]["work"]["topics"][0]["score"] == 1.0
 
@@ -23,23 +23,23 @@ def test_valid_records_keep_nested_structure(spark):
 @pytest.mark.parametrize(
     "line, problem",
     [
-        ("not json", "malformed JSON"),
-        ('{"id":"W1"} trailing', "malformed JSON"),
-        ('{"id":"W1"}{"id":"W2"}', "malformed JSON"),
-        ('{"id":"W1"},{"id":"W2"}', "malformed JSON"),
-        ('{"id":"W1"}] x', "malformed JSON"),
-        ('{"id":"W1"}]', "malformed JSON"),
-        ('{"id":"W1",}', "malformed JSON"),
-        ("[]", "expected a JSON object"),
-        ('[{"id":"W1"}]', "expected a JSON object"),
-        ('"text"', "expected a JSON object"),
-        ("7", "expected a JSON object"),
-        ("{}", "missing or invalid work id"),
-        ('{"id":null}', "missing or invalid work id"),
-        ('{"id":" "}', "missing or invalid work id"),
-        ('{"id":"\\u00a0\\u2003"}', "missing or invalid work id"),
-        ('{"id":1}', "missing or invalid work id"),
-        ('{"id":{"a":1}}', "missing or invalid work id"),
+        ("not json", "not one JSON value"),
+        ('{"id":"W1"} trailing', "not one JSON value"),
+        ('{"id":"W1"}{"id":"W2"}', "not one JSON value"),
+        ('{"id":"W1"},{"id":"W2"}', "not one JSON value"),
+        ('{"id":"W1"}] x', "not one JSON value"),
+        ('{"id":"W1"}]', "not one JSON value"),
+        ('{"id":"W1",}', "not one JSON value"),
+        ("[]", "not an object"),
+        ('[{"id":"W1"}]', "not an object"),
+        ('"text"', "not an object"),
+        ("7", "not an object"),
+        ("{}", "id is no visible text"),
+        ('{"id":null}', "id is no visible text"),
+        ('{"id":" "}', "id is no visible text"),
+        ('{"id":"\\u00a0\\u2003"}', "id is no visible text"),
+        ('{"id":1}', "id is no visible text"),
+        ('{"id":{"a":1}}', "id is no visible text"),
     ],
 )
 def test_invalid_records(spark, line, problem):
