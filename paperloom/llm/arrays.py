@@ -11,7 +11,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 512 << 10
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True

@@ -66,8 +66,9 @@ def sketch(owners, values, rows):
         slot = (thrown % np.uint64(COORDINATES)).astype(np.int64) if turn < COORDINATES else turn - COORDINATES
         value = (np.uint64(turn) << np.uint64(56)) | (thrown >> np.uint64(8))
         np.minimum.at(bins, owners * COORDINATES + slot, value)
-        full = bins.reshape(rows, COORDINATES).max(axis=1) < np.iinfo(np.uint64).max
-        open_rows &= ~full
+        still = np.flatnonzero(open_rows)
+        full = bins.reshape(rows, COORDINATES)[still].max(axis=1) < np.iinfo(np.uint64).max
+        open_rows[still[full]] = False
     return bins.reshape(rows, COORDINATES)
 
 
