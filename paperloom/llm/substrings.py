@@ -203,8 +203,17 @@ def repeated_windows(docs, window=35, id_column="doc_id", text_column="text", wi
     ship(docs.sparkSession)
     source = _keyed(docs, id_column, text_column)
     every = written(source.mapInArrow(_regions(window), REGION_DDL))
-    twice = every.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
-    left = written(every.join(twice, "anchor"))
+    # Written, so that Spark can split the rows of a hot anchor in the join that follows.
+    twice = written(
+        every.groupBy("anchor")
+        .agg(F.count("*").alias("n"), F.min("region").alias("least"), F.max("region").alias("most"))
+        .where("n > 1")
+        .select("anchor", (F.col("least") == F.col("most")).alias("alike"))
+    )
+    repeated = written(every.join(twice, "anchor"))
+    # Where all regions of an anchor are equal, each of them has a copy.
+    copies = repeated.where("alike").select(*OWNER, "low", "windows")
+    left = repeated.where("not alike")
     distinct = left.groupBy("anchor", "region").agg(
         F.count("*").alias("copies"), F.min(F.struct(*OWNER, "low", "windows")).alias("own")
     )
@@ -233,7 +242,8 @@ def repeated_windows(docs, window=35, id_column="doc_id", text_column="text", wi
     again = split.groupBy("anchor", "w1", "w2").agg(F.sum("copies").alias("n")).where("n > 1").drop("n")
     by_window = split.where("copies = 1").join(again, ["anchor", "w1", "w2"], "left_semi").select(*OWNER, "low", "windows")
     return (
-        whole.union(narrow)
+        copies.union(whole)
+        .union(narrow)
         .union(by_window)
         .groupBy(*OWNER)
         .agg(F.collect_list(F.struct("low", "windows")).alias("spans"))
