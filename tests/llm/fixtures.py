@@ -1,10 +1,7 @@
-import os
-import sys
+"""Rows and tables that the tests of this folder share; tests import the fixtures by name."""
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
-
 SMALL = "/root/testdata/sf0.001"
 
 PROSE = (

@@ -5,7 +5,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 from brute import sha
-from conftest import awkward_rows
+from fixtures import awkward, awkward_rows, nothing, small  # noqa: F401
 from paperloom.llm import bpe
 from paperloom.llm.queries import QUERIES
 

@@ -1,6 +1,6 @@
 import zlib
 
-from conftest import awkward_rows
+from fixtures import awkward, awkward_rows, nothing  # noqa: F401
 from paperloom.llm import classifier
 from paperloom.llm.queries import QUERIES
 from pyspark.sql import functions as F

@@ -1,7 +1,7 @@
 import random
 
 from brute import sha
-from conftest import PROSE, awkward_rows
+from fixtures import awkward, awkward_rows, nothing, PROSE, small  # noqa: F401
 from paperloom.llm import fingerprints as fp
 from paperloom.llm.queries import QUERIES
 

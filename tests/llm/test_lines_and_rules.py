@@ -2,7 +2,7 @@ import random
 
 import pytest
 from brute import measures, sha, without_lines
-from conftest import awkward_rows
+from fixtures import awkward, awkward_rows, nothing, small  # noqa: F401
 from paperloom.llm import linededup, rules
 from paperloom.llm.queries import QUERIES
 from pyspark.sql import functions as F

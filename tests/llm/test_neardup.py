@@ -1,7 +1,7 @@
 import random
 
 from brute import components
-from conftest import awkward_rows
+from fixtures import awkward, awkward_rows, nothing, small  # noqa: F401
 from paperloom.llm import components as graph
 from paperloom.llm import neardup
 

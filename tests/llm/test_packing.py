@@ -1,7 +1,7 @@
 import collections
 
 from brute import folded, words
-from conftest import awkward_rows
+from fixtures import awkward, awkward_rows, nothing, small  # noqa: F401
 from paperloom.llm import packing
 from paperloom.llm.queries import QUERIES
 

@@ -2,7 +2,7 @@ import random
 
 import pytest
 from brute import sha, without_windows, words
-from conftest import awkward_rows
+from fixtures import awkward, awkward_rows, nothing, small  # noqa: F401
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from paperloom.llm import substrings
