@@ -9,12 +9,12 @@ from paperloom.functions.columns import percentage
 def linked_papers(bridge: DataFrame, papers: DataFrame, key: str, measures, unique_pairs=False):
     """Every distinct (entity, paper) link with the paper's measures.
 
-    Pass unique_pairs for a bridge whose grain is already checked: the distinct then
-    costs a shuffle of the bridge without changing a row.
+    The bridge is dealt by paper once, which serves the distinct and the join alike. Pass
+    unique_pairs for a bridge whose grain is already checked, to save the distinct.
     """
     pairs = bridge.select("paper_id", key)
     if not unique_pairs:
-        pairs = pairs.distinct()
+        pairs = pairs.repartition("paper_id").distinct()
     return pairs.join(papers.select("paper_id", *measures), "paper_id")
 
 
