@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from paperloom.llm.runtime import ship
 
-KNOWN, LONG, BLOCK, CHUNK = 600_000, 1024, 60_000, 2 << 20
+KNOWN, LONG, BLOCK, CHUNK = 1_200_000, 1024, 60_000, 2 << 20
 
 _ENCODE = """
 WITH RECURSIVE walk(word, seat, token, round) AS (
