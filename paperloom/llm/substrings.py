@@ -31,7 +31,7 @@ from paperloom.llm.runtime import ship, written
 
 GRAM, WIDE = 12, 200
 OWNER = ["owner_id", "owner_text"]
-REGION_DDL = "owner_id long, owner_text long, low int, windows int, anchor long, region long"
+REGION_DDL = "owner_id long, owner_text long, lows array<int>, windows int, anchor long, region long"
 
 
 def _least_of(values, width):
@@ -73,17 +73,24 @@ def _regions(window):
         for batch in batches:
             for chunk in arrays.chunks(batch.column(2)):
                 row, low, size, anchor, content = regions(chunk, window)
-                take = pa.array(row + chunk.first_row)
+                # Equal regions of one text, as in periodic runs, become one row.
+                order = np.lexsort((low, content, anchor, row))
+                row, low, size, anchor, content = (c[order] for c in (row, low, size, anchor, content))
+                fresh = np.ones(len(row), bool)
+                fresh[1:] = (row[1:] != row[:-1]) | (anchor[1:] != anchor[:-1]) | (content[1:] != content[:-1])
+                first = np.flatnonzero(fresh)
+                bounds = np.append(first, len(row)).astype(np.int32)
+                take = pa.array(row[first] + chunk.first_row)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).take(take),
                         batch.column(1).take(take),
-                        pa.array(low, pa.int32()),
-                        pa.array(size, pa.int32()),
-                        pa.array(arrays.signed(anchor)),
-                        pa.array(arrays.signed(content)),
+                        pa.ListArray.from_arrays(bounds, low.astype(np.int32)),
+                        pa.array(size[first], pa.int32()),
+                        pa.array(arrays.signed(anchor[first])),
+                        pa.array(arrays.signed(content[first])),
                     ],
-                    names=[*OWNER, "low", "windows", "anchor", "region"],
+                    names=[*OWNER, "lows", "windows", "anchor", "region"],
                 )
 
     return run
@@ -194,9 +201,9 @@ def _keyed(docs, id_column, text_column):
 
 
 def repeated_windows(docs, window=35, id_column="doc_id", text_column="text", wide=WIDE):
-    """(owner_id, owner_text, spans): runs of repeated windows as structs (low, windows).
+    """(owner_id, owner_text, spans): runs of repeated windows as structs (lows, windows).
 
-    A span covers the words from `low` to `low + windows + window - 2`.
+    A span covers the words from each `low` to `low + windows + window - 2`.
     """
     if window <= GRAM:
         raise ValueError(f"A window needs more than {GRAM} words")
@@ -206,23 +213,24 @@ def repeated_windows(docs, window=35, id_column="doc_id", text_column="text", wi
     # Written, so that Spark can split the rows of a hot anchor in the join that follows.
     twice = written(
         every.groupBy("anchor")
-        .agg(F.count("*").alias("n"), F.min("region").alias("least"), F.max("region").alias("most"))
+        .agg(F.sum(F.size("lows")).alias("n"), F.min("region").alias("least"), F.max("region").alias("most"))
         .where("n > 1")
         .select("anchor", (F.col("least") == F.col("most")).alias("alike"))
     )
     repeated = written(every.join(twice, "anchor"))
     # Where all regions of an anchor are equal, each of them has a copy.
-    copies = repeated.where("alike").select(*OWNER, "low", "windows")
+    copies = repeated.where("alike").select(*OWNER, "lows", "windows")
     left = repeated.where("not alike")
     distinct = left.groupBy("anchor", "region").agg(
-        F.count("*").alias("copies"), F.min(F.struct(*OWNER, "low", "windows")).alias("own")
+        F.sum(F.size("lows")).alias("copies"),
+        F.min(F.struct(*OWNER, F.col("lows")[0].alias("low"), "windows")).alias("own"),
     )
     shards = distinct.groupBy("anchor").agg(
         F.count("*").alias("regions"), F.sum((F.col("copies") == 1).cast("long")).alias("alone")
     )
     asked = written(distinct.join(shards, "anchor"))
     whole = left.join(asked.where("copies > 1").select("anchor", "region"), ["anchor", "region"]).select(
-        *OWNER, "low", "windows"
+        *OWNER, "lows", "windows"
     )
     open_regions = asked.where("alone > 0 and regions > 1").select(
         "own.*", "anchor", "copies", (F.col("regions") > wide).alias("wide")
@@ -241,12 +249,9 @@ def repeated_windows(docs, window=35, id_column="doc_id", text_column="text", wi
     split = pieces.where("words is null")
     again = split.groupBy("anchor", "w1", "w2").agg(F.sum("copies").alias("n")).where("n > 1").drop("n")
     by_window = split.where("copies = 1").join(again, ["anchor", "w1", "w2"], "left_semi").select(*OWNER, "low", "windows")
+    found = narrow.union(by_window).select(*OWNER, F.array("low").alias("lows"), "windows")
     return (
-        copies.union(whole)
-        .union(narrow)
-        .union(by_window)
-        .groupBy(*OWNER)
-        .agg(F.collect_list(F.struct("low", "windows")).alias("spans"))
+        copies.union(whole).union(found).groupBy(*OWNER).agg(F.collect_list(F.struct("lows", "windows")).alias("spans"))
     )
 
 
@@ -268,8 +273,9 @@ def covered(spans, n_words, window):
     """Which words the spans cover."""
     change = np.zeros(n_words + 1, np.int64)
     for span in spans or ():
-        change[span["low"]] += 1
-        change[span["low"] + span["windows"] + window - 1] -= 1
+        lows = np.asarray(span["lows"])
+        np.add.at(change, lows, 1)
+        np.add.at(change, lows + (span["windows"] + window - 1), -1)
     return np.cumsum(change[:-1]) > 0
 
 
