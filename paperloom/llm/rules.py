@@ -162,16 +162,15 @@ def judged(counts, lang="lang", source="source"):
     wider = fences(by_lang, ["g_lang"]).select(
         F.col("g_lang").alias("w_lang"), F.col("total").alias("lang_total"), *[F.col(n).alias(f"lang_{n}") for n in names]
     )
-    widest = fences(overall.withColumn("all", F.lit(1)), ["all"]).select(*[F.col(n).alias(f"all_{n}") for n in names])
-    # one row: the sketch of everything
-    table = own.join(wider, F.col("g_lang").eqNullSafe(F.col("w_lang")), "left").join(F.broadcast(widest), F.lit(True), "left")
+    widest = fences(overall.withColumn("all", F.lit(1)), ["all"]).select(F.struct(*names))
+    table = own.join(wider, F.col("g_lang").eqNullSafe(F.col("w_lang")), "left").withColumn("every", widest.scalar())
     chosen = table.select(
         "g_lang",
         "g_source",
         *[
             F.when(F.col("own_total") >= LEAST, F.col(f"own_{n}"))
             .when(F.col("lang_total") >= LEAST, F.col(f"lang_{n}"))
-            .otherwise(F.col(f"all_{n}"))
+            .otherwise(F.col(f"every.{n}"))
             .alias(n)
             for n in names
         ],
