@@ -23,8 +23,8 @@ def quality_classifier(spark, docs, sf_dir):
 
 
 def line_dedup(spark, docs, sf_dir):
-    """Lines found in at least ten documents go everywhere."""
-    return _recounted(linededup.deduped(docs, min_documents=10, min_chars=1))
+    """Lines found in at least ten documents stay in the first place only."""
+    return _recounted(linededup.deduped(docs, min_documents=10, min_chars=1, keep_first=True))
 
 
 def minhash_near_dedup(spark, docs, sf_dir):

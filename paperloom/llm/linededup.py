@@ -1,4 +1,4 @@
-"""Line dedup: lines whose key stands in many documents are dropped everywhere.
+"""Line dedup: lines whose key stands in many documents are dropped everywhere, or all but the first.
 
 A line's key is the line without white space at both ends and with A to Z in lower case.
 Key hashes (128 bits) are range-partitioned by hash and document and sorted by hash,
@@ -9,9 +9,13 @@ edge may go on in the next one; its count is summed over partitions and only its
 wait for that sum, which is how one line of a third of all documents is split over many
 tasks. What comes back is a compressed bitmap for each document, not text.
 
+With `keep_first` the first line of a run, by document id and position, stays. Of an edge
+run each partition holds back its first line, and the least of these is the one that stays.
+
 Defined results: a null text is one empty line; keys of fewer than `min_chars` code
 points are never dropped; rows with equal id and text count as one document and get the
-same bitmap; a null id is an id like any other; an empty table gives an empty table.
+same bitmap, so a kept first line stays in each of them; a null id is an id like any other,
+the least one; an empty table gives an empty table.
 """
 
 import zlib
@@ -26,7 +30,7 @@ from paperloom.llm.runtime import ship, written
 KEY = ["h1", "h2"]
 OWNER = ["owner_id", "owner_text"]
 LINE_SCHEMA = pa.schema([(c, pa.int64()) for c in [*KEY, *OWNER, "position"]])
-#: kind 0: a dropped line; 1: documents of an edge run seen here; 2: a line that waits
+#: kind 0: a dropped line; 1: documents of an edge run seen here; 2: a line that waits; 3: an edge run's first line here
 FOUND_SCHEMA = pa.schema([*LINE_SCHEMA, ("kind", pa.int8()), ("documents", pa.int64())])
 FOUND_DDL = "h1 long, h2 long, owner_id long, owner_text long, position long, kind byte, documents long"
 
@@ -57,11 +61,11 @@ def _keyed_lines(min_chars):
     return run
 
 
-def _stream_runs(min_documents):
+def _stream_runs(min_documents, keep_first):
     """Over rows sorted by hash, document and position."""
 
     def run(batches):
-        waiting, documents, first_run, current = [], 0, True, None
+        waiting, documents, first_run, current, first = [], 0, True, None, None
         last_owner, settled = None, False
 
         def out(columns, kind, counts):
@@ -73,11 +77,15 @@ def _stream_runs(min_documents):
             """The count of an edge run."""
             return out([np.array([v], np.int64) for v in (*current, 0, 0, 0)], 1, documents)
 
+        def held_back():
+            """The first line of an edge run."""
+            return out([np.array([v], np.int64) for v in (*current, *first)], 3, 0)
+
         for batch in batches:
             if not batch.num_rows:
                 continue
             columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-            h1, h2, owner_id, owner_text, _ = columns
+            h1, h2, owner_id, owner_text, position = columns
             changed = np.flatnonzero((h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])) + 1
             bounds = np.concatenate([[0], changed, [len(h1)]])
             new_owner = np.ones(len(h1), bool)
@@ -92,12 +100,14 @@ def _stream_runs(min_documents):
                     if current is not None:
                         if first_run:
                             yield mark()
+                            if keep_first:
+                                yield held_back()
                             if not settled:
                                 for held in waiting:
                                     yield out(held, 2, 0)
                         first_run = False if current is not None else first_run
                     waiting, documents, settled, current = [], 0, False, key
-                    last_owner = None
+                    last_owner = first = None
                 documents += int(counts[k])
                 if last_owner == (owner_id[low], owner_text[low]):
                     documents -= 1
@@ -106,15 +116,23 @@ def _stream_runs(min_documents):
                     for held in waiting:
                         yield out(held, 0, 0)
                     waiting, settled = [], True
-                if settled:
+                going_on = first_run or k == len(bounds) - 2
+                if keep_first and (settled or going_on):
+                    if first is None:
+                        first = (owner_id[low], owner_text[low], position[low])
+                    while low < high and (owner_id[low], owner_text[low], position[low]) == first:
+                        low += 1  # the line that stays, once for each repeated row
+                if low < high and settled:
                     dropped.append(np.arange(low, high))
-                elif first_run or k == len(bounds) - 2:
+                elif low < high and going_on:
                     waiting.append([c[low:high] for c in columns])
             if dropped:
                 rows = np.concatenate(dropped)
                 yield out([c[rows] for c in columns], 0, 0)
         if current is not None:
             yield mark()
+            if keep_first:
+                yield held_back()
             for held in waiting:
                 yield out(held, 2, 0)
 
@@ -142,9 +160,10 @@ def _owners(docs, id_column, text_column):
     )
 
 
-def keep_bitmaps(docs, min_documents=10, min_chars=1, id_column="doc_id", text_column="text"):
+def keep_bitmaps(docs, min_documents=10, min_chars=1, id_column="doc_id", text_column="text", keep_first=False):
     """(owner_id, owner_text, keep_bitmap) of documents that lose lines.
 
+    Lines of at least `min_documents` documents go, with `keep_first` all but the first.
     The bitmap is zlib over bits, most significant first: 0 for a dropped line. Lines
     after its last 0 are kept.
     """
@@ -159,13 +178,18 @@ def keep_bitmaps(docs, min_documents=10, min_chars=1, id_column="doc_id", text_c
     found = written(
         lines.repartitionByRange(partitions, *KEY, *OWNER)
         .sortWithinPartitions(*KEY, *OWNER, "position")
-        .mapInArrow(_stream_runs(min_documents), FOUND_DDL)
+        .mapInArrow(_stream_runs(min_documents, keep_first), FOUND_DDL)
     )
     totals = (
         found.where("kind = 1").groupBy(*KEY).agg(F.sum("documents").alias("total")).where(F.col("total") >= min_documents)
     )
     late = found.where("kind = 2").join(totals, KEY, "left_semi")
     dropped = found.where("kind = 0").select(*OWNER, "position").union(late.select(*OWNER, "position"))
+    if keep_first:
+        line = F.struct(*OWNER, "position")
+        firsts = found.where("kind = 3")
+        least = firsts.groupBy(*KEY).agg(F.min(line).alias("least")).join(totals, KEY, "left_semi")
+        dropped = dropped.union(firsts.join(least, KEY).where(line != F.col("least")).select(*OWNER, "position"))
     return (
         dropped.groupBy(*OWNER)
         .agg(F.collect_set("position").alias("positions"))
@@ -196,9 +220,10 @@ def surviving_lines(text, bitmap):
     return len(found), [line for k, line in enumerate(found) if k >= len(bits) or bits[k]]
 
 
-def deduped(docs, min_documents=10, min_chars=1, id_column="doc_id", text_column="text"):
+def deduped(docs, min_documents=10, min_chars=1, id_column="doc_id", text_column="text", keep_first=False):
     """The documents with the dropped lines gone from their text; other columns as they are."""
-    marked = with_bitmaps(docs, keep_bitmaps(docs, min_documents, min_chars, id_column, text_column), id_column, text_column)
+    bitmaps = keep_bitmaps(docs, min_documents, min_chars, id_column, text_column, keep_first)
+    marked = with_bitmaps(docs, bitmaps, id_column, text_column)
     where, names = docs.columns.index(text_column), docs.columns
 
     def run(batches):

@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from brute import measures, sha, without_lines
+from brute import SPACES, folded, measures, sha, without_lines
 from fixtures import awkward, awkward_rows, nothing, small  # noqa: F401
 from paperloom.llm import linededup, rules
 from paperloom.llm.queries import QUERIES
@@ -104,3 +104,37 @@ def test_planted_outliers_fail_and_the_rest_stays(spark):
     rows += [(1000 + k, f"{noisy} {k}", "en", "big") for k in range(15)]
     got = rules.rules(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()
     assert {r["doc_id"] for r in got if not r["kept"]} == {1000 + k for k in range(15)}
+
+
+def first_kept(rows, least):
+    """Per row the kept lines: of a common key only the line at the least (id, position)."""
+    key = lambda line: folded(line.strip(SPACES))
+    holders, first = {}, {}
+    for i, t in rows:
+        for at, line in enumerate(t.split("\n")):
+            holders.setdefault(key(line), set()).add(i)
+            first[key(line)] = min(first.get(key(line), (i, at)), (i, at))
+    return sorted(
+        (i, "\n".join(x for at, x in enumerate(t.split("\n")) if not key(x) or len(holders[key(x)]) < least or first[key(x)] == (i, at)))
+        for i, t in rows
+    )
+
+
+@pytest.mark.parametrize("partitions", [1, 2, 13, 60])
+def test_first_line_of_a_common_run_stays(spark, partitions):
+    """Copies of whole texts, common lines and repeated rows, at every split."""
+    rng = random.Random(partitions)
+    texts = ["\n".join(f"{name} sentence {k}" for k in range(6)) for name in "ab"]
+    rows = [(500 + 7 * k % 40, texts[0]) for k in range(25)] + [(700 + k, texts[1]) for k in range(12)]
+    rows += [(i, "\n".join([f"own {i}", *rng.choices([" The common line", "the COMMON line", "rare", "", "low"], k=4)])) for i in range(80)]
+    rows += [rows[0], rows[0], (0, rows[37][1])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        got = linededup.deduped(frame, min_documents=10, keep_first=True).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sorted((r["doc_id"], r["text"]) for r in got) == first_kept(rows, 10)
+    for text in texts:
+        assert {r["doc_id"] for r in got if r["text"] == text} == {min(i for i, t in rows if t == text)}

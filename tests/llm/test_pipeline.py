@@ -1,6 +1,6 @@
 import corpus_pipeline
 from brute import components, shingles, without_windows, words
-from fixtures import awkward, awkward_rows, nothing  # noqa: F401
+from fixtures import PROSE, awkward, awkward_rows, nothing  # noqa: F401
 from paperloom.llm.queries import ORACLE, QUERIES
 from paperloom.llm.runtime import written
 
@@ -39,6 +39,15 @@ def test_stages_on_their_own_input(spark):
             assert len(wrong) <= 0.05 * len(quality) and all(new[i] == old[i] for i in new)
 
 
+def test_line_stage_leaves_one_whole_text_of_many_copies(spark):
+    text = "\n".join(f"{PROSE} line {k}" for k in range(5))
+    rows = [(20 - k, text, "en", "a", len(text)) for k in range(12)] + [(50, PROSE, "en", "a", len(PROSE))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = written(corpus_pipeline.line_dedup(spark, docs, PATH))
+    left = {r["doc_id"]: r["text"] for r in corpus_pipeline.minhash_near_dedup(spark, kept, PATH).collect() if r["text"]}
+    assert left == {9: text, 50: PROSE}
+
+
 def test_run_places_every_kept_document(spark):
     got = corpus_pipeline.run(spark, PATH)
     assert got.columns == ["doc_id", "piece", "first_word", "n_words", "bin_id", "bin_offset"]
