@@ -26,8 +26,10 @@ _TOKEN = re.compile(
     | <(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z) | [^<]+ | <""",
     re.S | re.X,
 )
-_NAMED = re.compile(r"""\b(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+_NAMED = re.compile(r"""\b(class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _PART = re.compile(r"[a-z0-9]+")
+#: Words that make the next word of a name a state of the element, as in has-sidebar.
+_STATES = set("has no non not overflow with without".split())
 
 
 class Tree:
@@ -49,9 +51,19 @@ class Tree:
 
 
 def _marks(attributes):
-    if "=" not in attributes:
-        return ()
-    return tuple({part for found in _NAMED.findall(attributes) for part in _PART.findall("".join(found).lower())})
+    """Words of class, id and role; a state with its word, and a label, are one mark."""
+    found = set()
+    for kind, *values in _NAMED.findall(attributes) if "=" in attributes else ():
+        value = "".join(values).lower()
+        if kind.lower() == "aria-label":
+            found.add(" ".join(_PART.findall(value)))
+            continue
+        for token in value.split():
+            before = ""
+            for part in _PART.findall(token):
+                found.add(f"{before} {part}" if before in _STATES else part)
+                before = part
+    return tuple(found - {""})
 
 
 def parse(page):

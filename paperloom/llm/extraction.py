@@ -11,9 +11,12 @@ The model is trained by counting over labelled pages: pages that name their arti
 themselves. There, the article and what is below it are content, and known side parts
 with all below them are excluded. `SAMPLE` pages with the lowest id hash are the labelled
 sample; counts of features and of parent-child states are summed by Spark, and the tables
-of these counts are the only thing the driver receives. Elements whose name, class, id or
-role is a known mark of a side part are observed as excluded when a page is read; what is
-below them follows by the trained potentials.
+of these counts are the only thing the driver receives. Elements whose name, class, id,
+role or whole label is a known mark of a side part are observed as excluded when a page is
+read; what is below them follows by the trained potentials. A marked element or form that
+wraps the page's text is no side part and is inferred like any other: it holds more than
+half of that text, while less than an eighth stands outside marked elements. That text is
+what stands in the article or main elements, on pages without them all of it, links aside.
 
 Defined results: character references are decoded, white space inside a block becomes one
 space, blocks are joined by one line feed; a null or empty page and a page without
@@ -55,11 +58,51 @@ OWN_NAMES = ("article", "main")
 NEUTRAL = set("caption center dd details div dl dt figcaption figure li ol section summary table tbody td tfoot th thead tr ul".split())
 
 
-def _observed(tree, node):
+#: Side names that also wrap whole pages.
+WRAPPING = ("form", "fieldset")
+
+
+def _marked(tree, node):
     name = tree.name[node]
     if name in SIDE_NAMES:
         return True
-    return name not in (*OWN_NAMES, "body", "html", "#page") and not SIDE_MARKS.isdisjoint(tree.marks[node])
+    if name in (*OWN_NAMES, "body", "html", "#page"):
+        return False
+    return any(SIDE_MARKS.issuperset(mark.split()) for mark in tree.marks[node])
+
+
+def observed(tree):
+    """Of every node, whether it is observed as excluded."""
+    size = len(tree.parent)
+    marked = [_marked(tree, node) for node in range(size)]
+    clamped = [name in SIDE_NAMES and name not in WRAPPING for name in tree.name]
+    if marked == clamped:
+        return marked
+    inside, near = [False] * size, [-1] * size  # below an article or main; the nearest marked element
+    for node in range(size):
+        parent = tree.parent[node]
+        if parent >= 0:
+            clamped[node] = clamped[node] or clamped[parent]
+            inside[node], near[node] = inside[parent], near[parent]
+        inside[node] = inside[node] or (tree.name[node] in OWN_NAMES and not clamped[node])
+        near[node] = node if marked[node] else near[node]
+    named = any(inside)
+    weight, direct = [0] * size, Counter()
+    for node in range(size - 1, -1, -1):
+        if tree.text[node] and not clamped[node] and (inside[node] or not named):
+            weight[node] = max(len(tree.text[node]) - tree.linked[node], 0)
+            direct[near[node]] += weight[node]
+        if node:
+            weight[tree.parent[node]] += weight[node]
+    free = direct[-1]
+    for node in range(1, size):
+        above = near[tree.parent[node]]
+        if not marked[node] or clamped[node] or inside[node] or (above >= 0 and marked[above]):
+            continue
+        if 2 * weight[node] > weight[0] > 8 * free:
+            marked[node] = False
+            free += direct[node]
+    return marked
 
 
 def _features(tree, node):
@@ -84,10 +127,10 @@ def labelled(tree):
     """The states of a page that names its article; None for other pages."""
     if not any(name in OWN_NAMES for name in tree.name):
         return None
-    states = []
+    states, side = [], observed(tree)
     for node, parent in enumerate(tree.parent):
         above = states[parent] if parent >= 0 else FRAME
-        if above == EXCLUDED or _observed(tree, node):
+        if above == EXCLUDED or side[node]:
             states.append(EXCLUDED)
         elif above == CONTENT or tree.name[node] in OWN_NAMES:
             states.append(CONTENT)
@@ -103,11 +146,12 @@ def _counts(batches):
         for page in batch.column(0):
             tree = parse(page.as_py() or "")
             states = labelled(tree)
+            side = observed(tree) if states else ()
             for node, state in enumerate(states or ()):
                 found["state", "", state] += 1
                 if tree.parent[node] >= 0:
                     found["edge", str(states[tree.parent[node]]), state] += 1
-                if not _observed(tree, node):
+                if not side[node]:
                     for feature in _features(tree, node):
                         found["feature", feature, state] += 1
         kinds, keys, states = zip(*found) if found else ((), (), ())
@@ -137,9 +181,9 @@ class Model:
             seen = [counts.get(("feature", key, s), 0) for s in STATES]
             self.feature[key] = [math.log((n + SMOOTHING) / t) for n, t in zip(seen, total)]
 
-    def own(self, tree, node):
-        """The node's own potential."""
-        if _observed(tree, node):
+    def own(self, tree, node, side=False):
+        """The node's own potential; `side`: it is observed as excluded."""
+        if side:
             return [0.0, 0.0, 1.0]
         if tree.parent[node] < 0:
             return [1.0, 0.0, 0.0]
@@ -156,11 +200,12 @@ class Model:
     def marginals(self, tree):
         """The states' probabilities at every node."""
         size = len(tree.parent)
-        belief = [self.own(tree, node) for node in range(size)]
+        side = observed(tree)
+        belief = [self.own(tree, node, side[node]) for node in range(size)]
         upward = [None] * size
         edge = self.edge
         for node in range(size - 1, 0, -1):
-            if _observed(tree, node):  # a side part says nothing about where it stands
+            if side[node]:  # a side part says nothing about where it stands
                 upward[node] = [1.0, 1.0, 1.0]
                 continue
             a, b, c = belief[node]

@@ -87,3 +87,36 @@ def test_awkward_rows(spark):
     assert len(texts) == 5 and (1, "") in texts and (2, "") in texts and (None, TEXT) in texts
     empty = frame.where("false")
     assert extraction.extracted(empty, extraction.trained(empty)).count() == 0
+
+
+WRAPPERS = [
+    ("<div class='content has-sidebar'>", "</div>"),
+    ("<div class='overflow-hidden'>", "</div>"),
+    ("<section aria-label='Related work'>", "</section>"),
+    ("<form id=aspnetForm action=x>", "</form>"),
+    ("<form><div class='page sidebar'>", "</div></form>"),
+    ("<div class='sidebar'><article>", "</article></div>"),
+    ("<form><main>", "</main></form>"),
+]
+
+
+@pytest.mark.parametrize("opens,closes", WRAPPERS)
+def test_marked_wrappers_keep_the_text_of_the_page(model, opens, closes):
+    side = "<section class='comments'><p>A reader says this. It is long.</p></section>"
+    page = f"<html><body><nav><ul><li><a href=a>a</a></ul></nav>{opens}{BODY}{side}{closes}<footer>end</footer></body></html>"
+    assert model.text(page) == TEXT
+
+
+def test_labels_of_an_article_below_a_marked_wrapper():
+    tree = parse(f"<body><form><article>{BODY}<div class=ad>Buy this.</div></article></form><form>Search</form></body>")
+    states = dict(zip(tree.text, extraction.labelled(tree)))
+    assert states["Head"] == extraction.CONTENT
+    assert states["Buy this."] == states["Search"] == extraction.EXCLUDED
+
+
+def test_long_side_parts_stay_out(model):
+    long = "".join(f"<p>Reader {k} says this about it. It is a long one.</p>" for k in range(9))
+    comments = f"<section class=comments>{long}</section>"
+    assert model.text(f"<body><article>{BODY}{comments}</article></body>") == TEXT
+    assert model.text(f"<body><article>{BODY}</article>{comments}</body>") == TEXT
+    assert model.text(f"<body><form><article>{BODY}{comments}</article></form></body>") == TEXT
