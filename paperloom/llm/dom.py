@@ -26,6 +26,7 @@ _TOKEN = re.compile(
     | <(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z) | [^<]+ | <""",
     re.S | re.X,
 )
+_END = {name: re.compile(f"</{name}", re.I | re.A) for name in RAW}
 _NAMED = re.compile(r"""\b(class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _PART = re.compile(r"[a-z0-9]+")
 #: Words that make the next word of a name a state of the element, as in has-sidebar.
@@ -92,7 +93,6 @@ def parse(page):
         in_link = sum(name == "a" for _, name in open_nodes)
 
     at, size = 0, len(page)
-    lowered = None
     while at < size:
         token = _TOKEN.match(page, at)
         at = token.end()
@@ -136,12 +136,9 @@ def parse(page):
                     break
         node = tree.add(block(), name, _marks(token[3] or token[6] or ""))
         if name in RAW:
-            lowered = page.lower() if lowered is None else lowered
-            if len(lowered) != size:
-                lowered = page  # rare letters change length when lowered
-            end = lowered.find(f"</{name}", at)
-            at = size if end < 0 else end
-            if end >= 0:
+            end = _END[name].search(page, at)
+            at = end.start() if end else size
+            if end:
                 closed = page.find(">", at)
                 at = size if closed < 0 else closed + 1
         elif name not in VOID:

@@ -120,3 +120,8 @@ def test_long_side_parts_stay_out(model):
     assert model.text(f"<body><article>{BODY}{comments}</article></body>") == TEXT
     assert model.text(f"<body><article>{BODY}</article>{comments}</body>") == TEXT
     assert model.text(f"<body><form><article>{BODY}{comments}</article></form></body>") == TEXT
+
+
+def test_raw_elements_end_in_any_case_beside_letters_that_grow_when_lowered():
+    tree = parse("<SCRIPT>var a = 1</SCRIPT><p>İstanbul.<style>p{}</Style><p>After.")
+    assert [t for t in tree.text if t] == ["İstanbul.", "After."]
