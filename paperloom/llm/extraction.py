@@ -9,8 +9,8 @@ content are the page's text, in page order.
 
 The model is trained by counting over labelled pages: pages that name their article
 themselves. There, the article and what is below it are content, and known side parts
-with all below them are excluded. `SAMPLE` pages with the lowest id hash are the labelled
-sample; counts of features and of parent-child states are summed by Spark, and the tables
+with all below them are excluded. Of these, `SAMPLE` pages with the lowest id hash are the
+labelled sample; counts of features and of parent-child states are summed by Spark, and the tables
 of these counts are the only thing the driver receives. Elements whose name, class, id,
 role or whole label is a known mark of a side part are observed as excluded when a page is
 read; what is below them follows by the trained potentials. A marked element or form that
@@ -54,6 +54,8 @@ SIDE_MARKS = set(
     " sponsored subscribe subscription taboola toolbar tooltip widget widgets".split()
 )
 OWN_NAMES = ("article", "main")
+#: Every page with such an element has this, a few others too.
+NAMED = f"(?i)<({'|'.join(OWN_NAMES)})"
 #: Elements that stand in articles and side parts alike; their names tell nothing.
 NEUTRAL = set("caption center dd details div dl dt figcaption figure li ol section summary table tbody td tfoot th thead tr ul".split())
 
@@ -244,7 +246,7 @@ def trained(pages, sample=SAMPLE, id_column="page_id", html_column="html"):
     ship(pages.sparkSession)
     place = F.xxhash64(F.col(id_column).cast("string"))
     chosen = (
-        pages.where(F.col(id_column).isNotNull())
+        pages.where(F.col(id_column).isNotNull() & F.col(html_column).cast("string").rlike(NAMED))
         .select(F.col(id_column).alias("_pl_id"), place.alias("_pl_place"))
         .distinct()
         .orderBy("_pl_place", "_pl_id")

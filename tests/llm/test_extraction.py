@@ -125,3 +125,10 @@ def test_long_side_parts_stay_out(model):
 def test_raw_elements_end_in_any_case_beside_letters_that_grow_when_lowered():
     tree = parse("<SCRIPT>var a = 1</SCRIPT><p>İstanbul.<style>p{}</Style><p>After.")
     assert [t for t in tree.text if t] == ["İstanbul.", "After."]
+
+
+def test_sample_is_drawn_from_pages_that_name_their_article(spark):
+    rows = [(k, "<body><div><p>No name here.</p></div></body>") for k in range(200)]
+    rows += [(1000 + k, f"<body><nav>n</nav><ARTICLE>{BODY}</ARTICLE></body>") for k in range(3)]
+    trained = extraction.trained(spark.createDataFrame(rows, "page_id long, html string"), sample=3)
+    assert "name p" in trained.feature
