@@ -44,8 +44,7 @@ def _shuffle_bucket(seed):
         return pa.table(
             {
                 "record": table.column("record").take(pa.array(order)),
-                "bucket": pa.repeat(key[0], table.num_rows),
-                "turn": pa.array(np.arange(table.num_rows)),
+                "position": pa.array(table.column("before")[0].as_py() + np.arange(table.num_rows)),
             }
         )
 
@@ -80,14 +79,13 @@ def write_shards(docs, folder=None, shards=16, seed=SEED, bucket_bytes=BUCKET_BY
     total = drawn.agg(F.count("*").alias("records"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes")).first()
     buckets = max(1, -(-total["bytes"] // bucket_bytes))
     dealt = drawn.withColumn("bucket", F.pmod("draw", F.lit(buckets).cast("long")))
-
-    schema = T.StructType(
-        [drawn.schema["record"], T.StructField("bucket", T.LongType()), T.StructField("turn", T.LongType())]
-    )
-    mixed = dealt.select("record", "place", "bucket").groupBy("bucket").applyInArrow(_shuffle_bucket(seed), schema)
     counts = dealt.groupBy("bucket").agg(F.count("*").alias("records"))
+
+    # Offsets come before the grouping, so that one shuffle by bucket serves join and group.
+    placed = dealt.select("record", "place", "bucket").join(_offsets(counts), "bucket")
+    schema = T.StructType([drawn.schema["record"], T.StructField("position", T.LongType())])
+    ordered = placed.groupBy("bucket").applyInArrow(_shuffle_bucket(seed), schema)
     n = max(1, total["records"])
-    ordered = mixed.join(_offsets(counts), "bucket").withColumn("position", F.col("before") + F.col("turn"))
     ordered = ordered.withColumn("_shard", F.expr(f"cast(position * {shards} div {n} as int)"))
     start = F.expr(f"(cast(_shard as long) * {n} + {shards - 1}) div {shards}")
     kept = [c for c in docs.columns if c.lower() not in ("shard", "slot")]
