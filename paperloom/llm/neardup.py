@@ -10,10 +10,18 @@ coordinate, and the share of equal coordinates is concentrated around the simila
 Equal sets are merged to one class first (partial aggregation), so copies never meet
 pairwise. Classes that agree on a band of the sketch share a bucket. Each member is
 compared with the bucket's least and greatest class, on full sets; what that links is
-closed to components. Buckets whose members are then still in different components, and
-only those, compare their members across components, so a link that neither end of the
-bucket shows is found as well, and a group of near copies costs one comparison each
-instead of all pairs.
+closed to components. What is left are buckets of four and more members in different
+components. The members of such buckets with the same largest component form a group, and
+a group has a reference: the shingles that most of five of its members hold. A member is
+told by its differences from the reference, which are few in a group of near copies. Two
+members with D1 and D2 differences, C of them common, are D1 + D2 - 2C shingles apart, so
+the limit says how many differences a link needs in common, whatever else the texts hold.
+Members that differ so little that none is needed are all linked with the nearest member
+of the group, and are compared with that one only. For the others each of the differences
+that could be the first common one is an index key (the need of a member gives their
+number), and members that share a key are compared on full sets. Members of the largest
+component are looked up but never look for each other. No link is lost, and a group of
+near copies is not compared pair by pair: its shared text is in the reference.
 
 Defined results: words are split at white space and A to Z lower-cased; with fewer words
 than a shingle takes, the whole sequence is the one shingle; without words (null text too)
@@ -29,7 +37,7 @@ from paperloom.llm import arrays
 from paperloom.llm.components import connected
 from paperloom.llm.runtime import ship, written
 
-COORDINATES = 128
+COORDINATES, SAMPLED = 128, 5
 _SEEDS = arrays.mix(np.arange(1, 2 * COORDINATES + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
 
 
@@ -116,16 +124,9 @@ def _sets(width):
             for chunk in arrays.chunks(batch.column(1)):
                 owners, values = shingle_sets(chunk, width)
                 first = np.searchsorted(owners, np.arange(chunk.rows + 1)).astype(np.int32)
-                short = np.unique(owners.astype(np.int64) << 16 | (values >> np.uint64(48)).astype(np.int64))
-                first_short = np.searchsorted(short >> 16, np.arange(chunk.rows + 1)).astype(np.int32)
-                codes = (short & 0xFFFF).astype(np.uint16).view(np.int16)
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(chunk.first_row, chunk.rows),
-                        pa.ListArray.from_arrays(first, arrays.signed(values)),
-                        pa.ListArray.from_arrays(first_short, codes),
-                    ],
-                    names=["vertex", "shingles", "codes"],
+                    [batch.column(0).slice(chunk.first_row, chunk.rows), pa.ListArray.from_arrays(first, arrays.signed(values))],
+                    names=["vertex", "shingles"],
                 )
 
     return run
@@ -144,33 +145,68 @@ def _confirmed(pairs, sets, percent):
     return common.where(100 * F.col("common") >= percent * (F.col("both") - F.col("common"))).select("a", "b")
 
 
-def _across(members, percent):
-    """Pairs of one bucket and two components whose short codes do not rule a link out.
+def _groups(placed):
+    """(ref, vertex, root) of buckets whose members are not all compared or linked yet.
 
-    Codes are 16 bits of each shingle's hash, without repeats. Common shingles number at
-    most the common codes and those that repeats hide, so the test, which is part of the
-    join, never drops a link; few other pairs leave the join.
+    `ref` is the root of the bucket's largest component.
     """
-    one, other = (
-        members.select(
-            "bucket",
-            F.col("vertex").alias(name),
-            F.col("root").alias(f"root_{name}"),
-            F.col("n").alias(f"n_{name}"),
-            F.col("codes").alias(f"codes_{name}"),
-        )
-        for name in "ab"
+    held = placed.groupBy("bucket", "root").agg(F.count("*").alias("held")).groupBy("bucket")
+    open_buckets = held.agg(
+        F.sum("held").alias("members"), F.count("*").alias("roots"), F.max(F.struct("held", "root")).alias("largest")
+    ).where("roots > 1 and members > 3")
+    mixed = open_buckets.select("bucket", F.col("largest.root").alias("ref"))
+    return placed.join(mixed, "bucket").select("ref", "vertex", "root").distinct()
+
+
+def _references(groups, sets):
+    """(ref, base): the shingles that most of at most `SAMPLED` members hold."""
+    drawn = groups.groupBy("ref").agg(
+        F.array_distinct(
+            F.array(*[F.min_by("vertex", F.struct(F.xxhash64("vertex", F.lit(i)), "vertex")) for i in range(SAMPLED)])
+        ).alias("drawn")
     )
-    hidden = F.least(F.col("n_a") - F.size("codes_a"), F.col("n_b") - F.size("codes_b"))
-    common = F.size(F.array_intersect("codes_a", "codes_b")) + hidden
-    both = F.col("n_a") + F.col("n_b")
-    apart = (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b"))
-    near_size = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-    near = F.when(apart & near_size, (100 + percent) * common >= percent * both).otherwise(False)
-    joined = one.withColumnRenamed("bucket", "bucket_a").join(
-        other, (F.col("bucket_a") == F.col("bucket")) & near
+    each = drawn.select("ref", F.size("drawn").alias("of"), F.explode("drawn").alias("vertex")).join(sets, "vertex")
+    common = each.select("ref", "of", F.explode("shingles").alias("shingle")).groupBy("ref", "of", "shingle").count()
+    return common.where("2 * count > of").groupBy("ref").agg(F.collect_list("shingle").alias("base"))
+
+
+def _across(groups, sets, percent):
+    """Pairs of one group and two components that may be linked; every link is among them."""
+    differing = groups.join(sets, "vertex").join(_references(groups, sets), "ref", "left")
+    base = F.coalesce("base", F.array().cast("array<long>"))
+    more, less = F.array_except("shingles", base), F.array_except(base, "shingles")
+    differing = differing.select(
+        "ref", "vertex", "root", F.size("shingles").alias("n"), F.concat(F.array_sort(more), F.array_sort(less)).alias("apart")
+    )
+    # A link of a and b needs slack_a + slack_b <= 2 * (100 + percent) * common differences.
+    slack = (100 + percent) * F.size("apart").cast("long") - (100 - percent) * F.col("n").cast("long")
+    differing = written(differing.withColumn("slack", slack))
+    nearest = F.min(F.struct("slack", "vertex", "root")).alias("nearest")
+    nearest = differing.groupBy("ref").agg(nearest).select("ref", "nearest.*")
+    nearest = nearest.toDF("ref", "least_slack", "nearest", "nearest_root")
+    told = differing.join(nearest, "ref")
+    need = F.greatest(F.lit(1), F.ceil((F.col("slack") + F.col("least_slack")) / (2.0 * (100 + percent))))
+    keys = F.greatest(F.lit(0), F.size("apart") - need + 1).cast("int")
+    listed = written(
+        told.select("ref", "vertex", "root", "n", F.explode(F.slice("apart", F.lit(1), keys)).alias("key"))
     )
-    return joined.select("a", "b").distinct()
+    asking = listed.where("root <> ref").select(
+        "ref", "key", F.col("vertex").alias("a"), F.col("root").alias("root_a"), F.col("n").alias("n_a")
+    )
+    asked = listed.select(
+        F.col("ref").alias("ref_b"),
+        F.col("key").alias("key_b"),
+        F.col("vertex").alias("b"),
+        F.col("root").alias("root_b"),
+        F.col("n").alias("n_b"),
+    )
+    once = (F.col("root_b") == F.col("ref")) | (F.col("a") < F.col("b"))
+    near_size = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+    apart = (F.col("root_a") != F.col("root_b")) & once & near_size
+    found = asking.join(asked, (F.col("ref") == F.col("ref_b")) & (F.col("key") == F.col("key_b")) & apart)
+    close = told.where("root <> nearest_root").select(F.col("vertex").alias("a"), F.col("nearest").alias("b"))
+    both = found.select("a", "b").union(close)
+    return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def near_duplicates(docs, width=5, percent=80, band_rows=4, id_column="doc_id", text_column="text"):
@@ -213,17 +249,14 @@ def near_duplicates(docs, width=5, percent=80, band_rows=4, id_column="doc_id",
     sets = written(
         texts.dropDuplicates(["vertex", "text_hash"])
         .select("vertex", "text")
-        .mapInArrow(_sets(width), "vertex long, shingles array<long>, codes array<smallint>")
+        .mapInArrow(_sets(width), "vertex long, shingles array<long>")
     )
     links = written(_confirmed(pairs, sets, percent))
     roots = connected(links)
 
     placed = shared.select("bucket", "vertex").join(roots, "vertex", "left")
-    placed = written(placed.withColumn("root", F.coalesce("root", "vertex")))
-    mixed = placed.groupBy("bucket").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1")
-    brief = sets.select("vertex", F.size("shingles").alias("n"), "codes")
-    still = written(placed.join(mixed.select("bucket"), "bucket").join(brief, "vertex"))
-    across = _across(still, percent)
+    groups = written(_groups(written(placed.withColumn("root", F.coalesce("root", "vertex")))))
+    across = _across(groups, sets, percent)
     more = written(_confirmed(across.join(pairs, ["a", "b"], "left_anti"), sets, percent))
     if not more.isEmpty():
         roots = connected(links.union(more))

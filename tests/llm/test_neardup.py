@@ -33,6 +33,67 @@ def test_chain_of_near_copies_is_one_component(spark):
     assert found(result) == components(docs, 5, 80)
 
 
+def near_copies(rng, count, words=100, replaced=2, base=None):
+    """Texts that differ from one base by a few replaced words each."""
+    base = base or [f"t{rng.randrange(10**6)}" for _ in range(words)]
+    found = []
+    for _ in range(count):
+        text = list(base)
+        for place in rng.sample(range(len(base)), replaced):
+            text[place] = f"new{rng.randrange(10**9)}"
+        found.append(" ".join(text))
+    return base, found
+
+
+def check_group(spark, texts, width, percent):
+    docs = list(enumerate(texts))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    assert found(neardup.near_duplicates(frame, width=width, percent=percent)) == components(docs, width, percent)
+
+
+def test_near_copies_just_under_the_limit(spark):
+    """Most pairs of the group share bands and are no links; some chains run through it."""
+    rng = random.Random(11)
+    base, texts = near_copies(rng, 260)
+    check_group(spark, texts, 3, 85)
+    check_group(spark, [*texts, " ".join(base)], 3, 85)
+
+
+def test_a_group_beside_its_outsiders(spark):
+    """A large component, members that nearly belong to it, and pairs among these."""
+    rng = random.Random(12)
+    base, close = near_copies(rng, 150, replaced=1)
+    _, far = near_copies(rng, 40, replaced=4, base=base)
+    _, twins = near_copies(rng, 3, replaced=9, base=base)
+    longer = [f"{text} {' '.join(f'end{rng.randrange(10**6)}' for _ in range(14))}" for text in close[:20]]
+    again = [text.replace("new", "old", 1) for text in twins + far[:10]]
+    texts = close + far + twins + longer + again
+    rng.shuffle(texts)
+    check_group(spark, texts, 3, 85)
+    check_group(spark, texts, 5, 80)
+
+
+def test_groups_without_anything_in_common_but_a_passage(spark):
+    """Shared passages put unrelated texts into common buckets; lengths differ."""
+    rng = random.Random(13)
+    passage = " ".join(f"p{k}" for k in range(120))
+    texts = [f"{passage} {' '.join(f'o{rng.randrange(10**6)}' for _ in range(rng.randrange(4, 60)))}" for _ in range(120)]
+    check_group(spark, texts, 3, 85)
+
+
+def test_candidates_of_a_hot_group_are_few(spark):
+    """No pair by pair comparison: a group of copies twice as large has about twice the candidates."""
+    counts = []
+    for size in (200, 400):
+        rng = random.Random(size)
+        _, texts = near_copies(rng, size)
+        sets = [(k, sorted({hash(s) for s in zip(t.split(), t.split()[1:], t.split()[2:])})) for k, t in enumerate(texts)]
+        frame = spark.createDataFrame(sets, "vertex long, shingles array<long>")
+        groups = frame.selectExpr("0L AS ref", "vertex", "vertex AS root")
+        counts.append(neardup._across(groups, frame, 85).count())
+    assert counts[0] < 200 * 199 / 2 / 6 and counts[1] < 400 * 399 / 2 / 6
+
+
 def test_awkward_rows(spark, awkward):
     got = [tuple(r) for r in neardup.near_duplicates(awkward, width=3, percent=85).collect()]
     assert len(got) == len(awkward_rows())
