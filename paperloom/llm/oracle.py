@@ -99,19 +99,22 @@ FROM summed GROUP BY conv_id
 """
 
 
-def quality_rules(measures, spread, least, error, base_words, base_repeats):
+def quality_rules(measures, octiles, spread, noise, prior, error, base_words, base_repeats):
     """SQL for the rules with the operator's own parameters."""
     width = f"ln((1 + {error}) / (1 - {error}))"
     values = " UNION ALL ".join(
-        f"SELECT lang, source, '{name}' AS measure, {slack} AS slack, {above} / greatest({below}, 1) AS value FROM fine"
-        for name, (above, below, slack) in measures.items()
+        f"SELECT lang, source, '{name}' AS measure, {above} / greatest({below}, 1) AS value FROM fine"
+        for name, (above, below) in measures.items()
+    )
+    marks = ", ".join(
+        f"min(value) FILTER (WHERE upto >= ceil(total * CAST({q} AS DOUBLE))) AS {name}" for name, q in octiles.items()
     )
 
     def level(name, columns):
         keys = ", ".join([*columns, "measure"])
         return f"""
 {name}_cells AS (
-    SELECT {keys}, max(slack) AS slack, bucket, sum(n) AS n FROM cells GROUP BY {keys}, bucket
+    SELECT {keys}, bucket, sum(n) AS n FROM cells GROUP BY {keys}, bucket
 ),
 {name}_placed AS (
     SELECT *, sum(n) OVER (PARTITION BY {keys}) AS total,
@@ -119,20 +122,23 @@ def quality_rules(measures, spread, least, error, base_words, base_repeats):
            coalesce(exp((bucket + 0.5) * {width}), 0.0) AS value
     FROM {name}_cells
 ),
-{name}_quartiles AS (
-    SELECT {keys}, max(total) AS total, max(slack) AS slack,
-           min(value) FILTER (WHERE upto >= ceil(total * 0.25)) AS q1,
-           min(value) FILTER (WHERE upto >= ceil(total * 0.75)) AS q3
-    FROM {name}_placed GROUP BY {keys}
-),
-{name}_fence AS (
-    SELECT *, greatest(q3 + {spread} * (q3 - q1), slack) AS fence FROM {name}_quartiles
+{name} AS (
+    SELECT {keys}, CAST(max(total) AS DOUBLE) AS total, {marks} FROM {name}_placed GROUP BY {keys}
 )"""
 
-    within = " AND ".join(
-        f"{above} / greatest({below}, 1) <= fence_{name}" for name, (above, below, _) in measures.items()
+    blended = ", ".join(
+        f"(o.total * o.{q} + {prior} * ((w.total * w.{q} + {prior} * e.{q}) / (w.total + {prior}))) / (o.total + {prior}) AS {q}"
+        for q in octiles
+    )
+    inside = []
+    for name, (above, below) in measures.items():
+        most, least = (f"({side}_{name} * greatest({below}, 1))" for side in ("upper", "lower"))
+        inside.append(f"NOT ({above} > {most} + CAST({noise} AS DOUBLE) * sqrt({most} + 1))")
+        inside.append(f"NOT ({above} < {least} - CAST({noise} AS DOUBLE) * sqrt(greatest({least}, CAST(0 AS DOUBLE)) + 1))")
+    within = " AND ".join(inside)
+    columns = ", ".join(
+        f"max(CASE WHEN measure = '{name}' THEN {side} END) AS {side}_{name}" for name in measures for side in ("upper", "lower")
     )
-    columns = ", ".join(f"max(CASE WHEN measure = '{name}' THEN fence END) AS fence_{name}" for name in measures)
     return f"""
 WITH split AS (
     SELECT *, {_WORDS} AS w, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
@@ -165,15 +171,17 @@ counted AS (
 fine AS (SELECT * FROM counted WHERE NOT base_failed),
 valued AS ({values}),
 cells AS (
-    SELECT lang, source, measure, max(slack) AS slack,
+    SELECT lang, source, measure,
            CASE WHEN value > 0 THEN CAST(floor(ln(value) / {width}) AS BIGINT) END AS bucket, count(*) AS n
     FROM valued GROUP BY lang, source, measure, bucket
 ),{level("own", ["lang", "source"])},{level("wide", ["lang"])},{level("every", [])},
+blended AS (
+    SELECT o.lang, o.source, o.measure, {blended}
+    FROM own o JOIN wide w ON w.measure = o.measure AND w.lang IS NOT DISTINCT FROM o.lang
+    JOIN every e ON e.measure = o.measure
+),
 chosen AS (
-    SELECT o.lang, o.source, o.measure,
-           CASE WHEN o.total >= {least} THEN o.fence WHEN w.total >= {least} THEN w.fence ELSE e.fence END AS fence
-    FROM own_fence o JOIN wide_fence w ON w.measure = o.measure AND w.lang IS NOT DISTINCT FROM o.lang
-    JOIN every_fence e ON e.measure = o.measure
+    SELECT *, high + CAST({spread} AS DOUBLE) * (high - mid) AS upper, low - CAST({spread} AS DOUBLE) * (mid - low) AS lower FROM blended
 ),
 fences AS (SELECT lang, source, {columns} FROM chosen GROUP BY lang, source),
 judged AS (

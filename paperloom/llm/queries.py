@@ -203,7 +203,14 @@ ORACLE = {
     "op7_line_dedup": oracle.OP7,
     "op8_chat_formatting": oracle.OP8,
     "op10_quality_rules": oracle.quality_rules(
-        rules.MEASURES, rules.SPREAD, rules.LEAST, rules.ERROR, rules.BASE_WORDS, rules.BASE_REPEATS
+        rules.MEASURES,
+        rules.OCTILES,
+        rules.SPREAD,
+        rules.NOISE,
+        rules.PRIOR,
+        rules.ERROR,
+        rules.BASE_WORDS,
+        rules.BASE_REPEATS,
     ),
     "op11_spelling_variants": oracle.OP11,
 }

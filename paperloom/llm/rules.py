@@ -1,13 +1,17 @@
 """Quality rules: text measures, and thresholds that follow each language and source.
 
-Fixed rules reject what is too short or repeats itself. Everything else is judged by a
-fence on each measure: third quartile plus `SPREAD` times the interquartile range of the
-document's own language and source, and never under the measure's `SLACK`. Quartiles come
-from mergeable sketches with relative error `ERROR`: a measure is counted in buckets of
-geometric width, so sketches of parts merge by adding counts. Partial aggregation sends
-one row per bucket and task, whatever share of the rows one source has. A source with
-fewer than `LEAST` documents takes the merged sketch of its language, a language with
-fewer the merged sketch of all.
+Fixed rules reject what is too short or repeats itself. Everything else is judged by two
+fences on each measure, the middle value plus and minus `SPREAD` times its distance from the
+outer octiles, which still tell something where quartiles are equal:
+octile + SPREAD * (octile - median). There are no fixed cutoffs: what is usual in a language
+and source passes there. A count may be past a fence by `NOISE` times the square root of what
+is expected plus one, so one symbol or repeated line in a clean group proves nothing.
+
+Octiles and medians come from mergeable sketches with relative error `ERROR`: a measure is
+counted in buckets of geometric width, so sketches of parts merge by adding counts. Partial
+aggregation sends one row per bucket and task, whatever share of the rows one source has.
+Small groups lean on wider ones, by one rule at every size: n own documents weigh
+n / (n + PRIOR), the rest is the language's value, itself blended with that of all.
 
 Defined results: a null or empty text has no words and fails; a null language or source
 is a group like any other; repeated rows are judged alike and count each; an empty table
@@ -28,13 +32,15 @@ COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
 BASE_WORDS, BASE_REPEATS = 50, 50
-SPREAD, LEAST, ERROR = 6.0, 200, 0.01
-#: measure: (numerator, denominator, least fence)
+SPREAD, NOISE, PRIOR, ERROR = 4.0, 4.0, 200, 0.01
+#: the shares of documents under the lower octile, the median and the upper octile
+OCTILES = {"low": 0.125, "mid": 0.5, "high": 0.875}
+#: measure: (counted, out of)
 MEASURES = {
-    "symbols_per_word": ("n_symbols", "n_words", 0.25),
-    "chars_per_word": ("word_chars", "n_words", 12.0),
-    "repeated_share": ("n_repeat_words", "n_words", 0.4),
-    "duplicate_lines_per_word": ("n_dup_lines", "n_words", 0.1),
+    "symbols_per_word": ("n_symbols", "n_words"),
+    "chars_per_word": ("word_chars", "n_words"),
+    "repeated_share": ("n_repeat_words", "n_words"),
+    "duplicate_lines_per_word": ("n_dup_lines", "n_words"),
 }
 
 
@@ -102,7 +108,7 @@ def base_failed():
 
 
 def _value(measure_name):
-    above, below, _ = MEASURES[measure_name]
+    above, below = MEASURES[measure_name]
     return F.col(above) / F.greatest(F.col(below), F.lit(1))
 
 
@@ -126,62 +132,74 @@ def merged(parts, levels):
     return parts.groupBy(*levels, "measure", "bucket").agg(F.sum("n").alias("n"))
 
 
-def fences(parts, levels):
-    """One row for each group: its documents and the fence of every measure."""
+def quantiles(parts, levels):
+    """One row for each group: its documents, and low, mid and high of every measure."""
     whole = Window.partitionBy(*levels, "measure")
     upward = whole.orderBy(F.col("bucket").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
     placed = parts.withColumns({"total": F.sum("n").over(whole), "upto": F.sum("n").over(upward)})
     value = F.coalesce(F.exp((F.col("bucket") + 0.5) * _WIDTH), F.lit(0.0))
-
-    def quantile(q):
-        return F.min(F.when(F.col("upto") >= F.ceil(F.col("total") * q), value))
-
-    quartiles = placed.groupBy(*levels, "measure").agg(
-        F.max("total").alias("total"), quantile(0.25).alias("q1"), quantile(0.75).alias("q3")
-    )
-    fence = F.col("q3") + SPREAD * (F.col("q3") - F.col("q1"))
-    return quartiles.groupBy(*levels).agg(
+    each = placed.groupBy(*levels, "measure").agg(
         F.max("total").alias("total"),
-        *[
-            F.max(F.when(F.col("measure") == m, F.greatest(fence, F.lit(slack)))).alias(f"fence_{m}")
-            for m, (_, _, slack) in MEASURES.items()
-        ],
+        *[F.min(F.when(F.col("upto") >= F.ceil(F.col("total") * q), value)).alias(k) for k, q in OCTILES.items()],
     )
+    of_measure = [F.max(F.when(F.col("measure") == m, F.col(k))).alias(f"{m}_{k}") for m in MEASURES for k in OCTILES]
+    return each.groupBy(*levels).agg(F.max("total").alias("total"), *of_measure)
 
 
-def judged(counts, lang="lang", source="source"):
-    """The counts with `base_failed` and `kept`. `counts` is read three times: write it first."""
-    rows = counts.withColumn("base_failed", base_failed())
-    fine = rows.where(~F.col("base_failed")).select(F.col(lang).alias("g_lang"), F.col(source).alias("g_source"), *COUNTS)
+def fences(measure_name):
+    """(lower, upper) from the blended columns of a measure."""
+    low, mid, high = (F.col(f"{measure_name}_{k}") for k in OCTILES)
+    return low - SPREAD * (mid - low), high + SPREAD * (high - mid)
+
+
+def outside(measure_name):
+    """Whether a document's count is further past a fence than counting noise explains."""
+    above, below = (F.col(c) for c in MEASURES[measure_name])
+    least, most = (fence * F.greatest(below, F.lit(1)) for fence in fences(measure_name))
+    too_many = above > most + NOISE * F.sqrt(most + 1)
+    too_few = above < least - NOISE * F.sqrt(F.greatest(least, F.lit(0.0)) + 1)
+    return too_many | too_few
+
+
+def thresholds(counts, lang="lang", source="source"):
+    """(g_lang, g_source, low, mid and high of every measure) of each language and source, blended."""
+    fine = counts.where(~base_failed()).select(F.col(lang).alias("g_lang"), F.col(source).alias("g_source"), *COUNTS)
     by_source = sketches(fine, ["g_lang", "g_source"])
     by_lang = merged(by_source, ["g_lang"])
     overall = merged(by_lang, [])
-    names = [f"fence_{m}" for m in MEASURES]
-    own = fences(by_source, ["g_lang", "g_source"]).withColumnRenamed("total", "own_total")
-    own = own.select("g_lang", "g_source", "own_total", *[F.col(n).alias(f"own_{n}") for n in names])
-    wider = fences(by_lang, ["g_lang"]).select(
-        F.col("g_lang").alias("w_lang"), F.col("total").alias("lang_total"), *[F.col(n).alias(f"lang_{n}") for n in names]
-    )
-    widest = fences(overall.withColumn("all", F.lit(1)), ["all"]).select(F.struct(*names))
-    table = own.join(wider, F.col("g_lang").eqNullSafe(F.col("w_lang")), "left").withColumn("every", widest.scalar())
-    chosen = table.select(
+    names = [f"{m}_{k}" for m in MEASURES for k in OCTILES]
+
+    def of(frame, level, keys=()):
+        return frame.select(*keys, F.struct("total", *names).alias(level))
+
+    own = of(quantiles(by_source, ["g_lang", "g_source"]), "own", ["g_lang", "g_source"])
+    wide = of(quantiles(by_lang, ["g_lang"]), "wide", [F.col("g_lang").alias("w_lang")])
+    every = quantiles(overall.withColumn("all", F.lit(1)), ["all"]).select(F.struct(*names))
+    table = own.join(wide, F.col("g_lang").eqNullSafe(F.col("w_lang")), "left").withColumn("every", every.scalar())
+
+    def blended(level, name, wider):
+        total = F.col(f"{level}.total")
+        return (total * F.col(f"{level}.{name}") + PRIOR * wider) / (total + PRIOR)
+
+    return table.select(
         "g_lang",
         "g_source",
-        *[
-            F.when(F.col("own_total") >= LEAST, F.col(f"own_{n}"))
-            .when(F.col("lang_total") >= LEAST, F.col(f"lang_{n}"))
-            .otherwise(F.col(f"every.{n}"))
-            .alias(n)
-            for n in names
-        ],
-    )
-    joined = rows.join(
-        chosen, F.col(lang).eqNullSafe(F.col("g_lang")) & F.col(source).eqNullSafe(F.col("g_source")), "left"
+        *[blended("own", n, blended("wide", n, F.col(f"every.{n}"))).alias(n) for n in names],
     )
-    within = F.lit(True)
+
+
+def judged(counts, lang="lang", source="source"):
+    """The counts with `base_failed` and `kept`. `counts` is read three times: write it first."""
+    rows = counts.withColumn("base_failed", base_failed())
+    usual = thresholds(counts, lang, source)
+    own = F.col(lang).eqNullSafe(F.col("g_lang")) & F.col(source).eqNullSafe(F.col("g_source"))
+    joined = rows.join(usual, own, "left")
+    past = F.lit(False)
     for m in MEASURES:
-        within = within & (_value(m) <= F.col(f"fence_{m}"))
-    return joined.withColumn("kept", ~F.col("base_failed") & F.coalesce(within, F.lit(True))).drop("g_lang", "g_source", *names)
+        past = past | outside(m)
+    gone = [f"{m}_{k}" for m in MEASURES for k in OCTILES]
+    kept = ~F.col("base_failed") & ~F.coalesce(past, F.lit(False))
+    return joined.withColumn("kept", kept).drop("g_lang", "g_source", *gone)
 
 
 def rules(docs, text_column="text", id_column="doc_id", lang="lang", source="source"):

@@ -92,18 +92,47 @@ def test_quantiles_are_within_the_stated_error(spark):
     values = [1 + k * 0.37 for k in range(1001)]
     frame = spark.createDataFrame([("en", int(1000 * v), 1000) for v in values], "lang string, n_symbols long, n_words long")
     frame = frame.withColumns({c: F.lit(0) for c in ("word_chars", "n_dup_lines", "n_repeat_words")})
-    fence = rules.fences(rules.sketches(frame, ["lang"]), ["lang"]).first()["fence_symbols_per_word"]
-    q1, q3 = values[250], values[750]
-    assert abs(fence - (q3 + rules.SPREAD * (q3 - q1))) < 0.03 * fence
+    found = rules.quantiles(rules.sketches(frame, ["lang"]), ["lang"]).first()
+    for name, at in (("low", 125), ("mid", 500), ("high", 875)):
+        assert abs(found[f"symbols_per_word_{name}"] - values[at]) < 0.011 * values[at]
 
 
 def test_planted_outliers_fail_and_the_rest_stays(spark):
     words = " ".join(f"word{k}" for k in range(80))
     noisy = " ".join(f"w{k}###" for k in range(80))
+    long_words = " ".join(f"word{k}" * 4 for k in range(80))
     rows = [(k, f"{words} {k}", "en", "big" if k % 3 else "small") for k in range(300)]
     rows += [(1000 + k, f"{noisy} {k}", "en", "big") for k in range(15)]
+    rows += [(2000, long_words, "en", "small"), (2001, " ".join("a" for _ in range(3)) + " " + " ".join("bcdefghijklm"[k % 12] + str(k % 10) for k in range(97)), "en", "big")]
     got = rules.rules(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()
-    assert {r["doc_id"] for r in got if not r["kept"]} == {1000 + k for k in range(15)}
+    assert {r["doc_id"] for r in got if not r["kept"]} == {1000 + k for k in range(15)} | {2000, 2001}
+
+
+def test_fences_follow_their_group(spark):
+    """The same text stays where symbols are usual and goes where they are not."""
+    prose = " ".join(f"word{k}" for k in range(200))
+    code = " ".join(f"word{k}{'=$' if k % 4 == 0 else ''}" for k in range(200))
+    rows = [(k, f"{prose} {k}", "en", "news") for k in range(3000)]
+    rows += [(10_000 + k, f"{code if k % 5 else prose} {k}", "en", "code") for k in range(3000)]
+    rows += [(20_000, code, "en", "news"), (20_001, code, "en", "code"), (20_002, code, "en", "tiny")]
+    counts = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r["doc_id"]: r["kept"] for r in rules.rules(counts).collect()}
+    assert not got[20_000] and got[20_001] and got[20_002]
+    assert all(kept for doc_id, kept in got.items() if doc_id != 20_000)
+
+
+def test_small_groups_lean_on_their_language(spark):
+    """Own documents weigh n / (n + PRIOR), at every n."""
+    def rows(n, symbols, source):
+        frame = spark.range(n).select(F.lit("en").alias("lang"), F.lit(source).alias("source"))
+        return frame.withColumns({"n_words": F.lit(100), "n_symbols": F.lit(symbols), **{c: F.lit(0) for c in ("word_chars", "n_dup_lines", "n_repeat_words")}})
+
+    small, large = 30, 4000
+    found = {r["g_source"]: r for r in rules.thresholds(rows(small, 50, "few").union(rows(large, 2, "many"))).collect()}
+    wide = 0.02
+    expected = (small * 0.5 + rules.PRIOR * wide) / (small + rules.PRIOR)
+    assert abs(found["few"]["symbols_per_word_mid"] - expected) < 0.02 * expected
+    assert abs(found["many"]["symbols_per_word_mid"] - wide) < 0.02 * wide
 
 
 def first_kept(rows, least):
