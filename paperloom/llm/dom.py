@@ -30,7 +30,7 @@ _END = {name: re.compile(f"</{name}", re.I | re.A) for name in RAW}
 _NAMED = re.compile(r"""\b(class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _PART = re.compile(r"[a-z0-9]+")
 #: Words that make the next word of a name a state of the element, as in has-sidebar.
-_STATES = set("has no non not overflow with without".split())
+STATE_WORDS = set("has no non not overflow with without".split())
 
 
 class Tree:
@@ -52,19 +52,13 @@ class Tree:
 
 
 def _marks(attributes):
-    """Words of class, id and role; a state with its word, and a label, are one mark."""
+    """The tokens of class, id and role, and whole labels, as words."""
     found = set()
     for kind, *values in _NAMED.findall(attributes) if "=" in attributes else ():
         value = "".join(values).lower()
-        if kind.lower() == "aria-label":
-            found.add(" ".join(_PART.findall(value)))
-            continue
-        for token in value.split():
-            before = ""
-            for part in _PART.findall(token):
-                found.add(f"{before} {part}" if before in _STATES else part)
-                before = part
-    return tuple(found - {""})
+        for token in [value] if kind.lower() == "aria-label" else value.split():
+            found.add(" ".join(_PART.findall(token)))
+    return tuple(sorted(found - {""}))
 
 
 def parse(page):

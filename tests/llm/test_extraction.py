@@ -107,6 +107,39 @@ def test_marked_wrappers_keep_the_text_of_the_page(model, opens, closes):
     assert model.text(page) == TEXT
 
 
+PARTED = "<p>A second part is as long as the first one here. It has two sentences too.</p>"
+_PARTS = [BODY[: BODY.index("<p>")], BODY[BODY.index("<p>") : BODY.index("<ul>")], BODY[BODY.index("<ul>") :]]
+INNER = [
+    f"<main><div class='elementor-widget elementor-widget-text'>{BODY}</div></main>",
+    "<main>" + "".join(f"<div class='wp-widget'>{part}</div>" for part in _PARTS) + "</main>",
+    f"<article><div class='post search-result'>{BODY}</div></article>",
+    f"<article><section id='notice-of-meeting'>{BODY}</section></article>",
+    f"<article><div class='post-content hidden'>{BODY}</div></article>",
+    "".join(f"<div class=widget>{part}</div>" for part in _PARTS),
+]
+
+
+@pytest.mark.parametrize("page", INNER)
+def test_marked_elements_that_hold_the_article_keep_it(model, page):
+    side = "<div class='cookie-banner'><p>We use cookies. Accept them.</p></div>"
+    assert model.text(f"<html><body><nav><ul><li><a href=a>a</a></ul></nav>{page}{side}<footer>end</footer></body></html>") == TEXT
+
+
+def test_a_marked_section_of_the_article_stays(model):
+    page = f"<body><nav><a href=a>a</a></nav><article>{BODY}<section class='related-work'>{PARTED}</section></article></body>"
+    assert model.text(page).endswith("It has two sentences too.") and model.text(page).startswith(TEXT)
+    beside = f"<body><article>{BODY}{PARTED * 4}<div class='related-posts'><p>Read it. Now.</p></div></article></body>"
+    assert "Read it" not in model.text(beside)
+
+
+def test_the_table_follows_labelled_pages(spark):
+    """A mark that only ever stands around articles loses its weight against the prior."""
+    page = "<body><div class='comments'><article>" + BODY + "</article></div><div class='comments'><p>Short. One.</p></div></body>"
+    frame = spark.createDataFrame([(k, page) for k in range(50)], "page_id long, html string")
+    side = extraction.trained(frame).side
+    assert side["whole", 0, 3] < 0.05 < 0.97 < side["whole", 2, 0]
+
+
 def test_labels_of_an_article_below_a_marked_wrapper():
     tree = parse(f"<body><form><article>{BODY}<div class=ad>Buy this.</div></article></form><form>Search</form></body>")
     states = dict(zip(tree.text, extraction.labelled(tree)))
