@@ -3,7 +3,7 @@
 Each round replaces the edges by edges to the least neighbour. The neighbourhood of a
 vertex is only ever reduced to its minimum (partial aggregation) and joined back, so a
 vertex with very many neighbours is never gathered in one place. Rounds are written
-tables; the driver sees one count and one checksum of each.
+tables; the driver sees of each whether all components are stars.
 """
 
 from pyspark.sql import functions as F
@@ -24,9 +24,12 @@ def _star(edges, large):
     return found.where("a <> b").distinct()
 
 
-def _state(edges):
-    row = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b") % 1_000_003).alias("s")).first()
-    return row["n"], row["s"]
+def _unfinished(edges):
+    """Whether any vertex has two parents, or a parent and a child: then these are no stars yet."""
+    ends = edges.select(F.col("a").alias("vertex"), F.lit(1).alias("child"), F.lit(0).alias("parent"))
+    ends = ends.union(edges.select(F.col("b").alias("vertex"), F.lit(0), F.lit(1)))
+    seen = ends.groupBy("vertex").agg(F.sum("child").alias("child"), F.max("parent").alias("parent"))
+    return not seen.where("child + parent > 1 and child > 0").isEmpty()
 
 
 def connected(edges):
@@ -37,11 +40,7 @@ def connected(edges):
     edges = written(
         edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     )
-    state = _state(edges)
-    while state[0]:
+    while _unfinished(edges):
         edges = written(_star(_star(edges, large=True), large=False))
-        state, before = _state(edges), state
-        if state == before:
-            break
     found = edges.select(F.col("a").alias("vertex"), F.col("b").alias("root"))
     return found.union(edges.select(F.col("b").alias("vertex"), F.col("b").alias("root")).distinct())

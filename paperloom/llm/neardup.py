@@ -19,9 +19,11 @@ the limit says how many differences a link needs in common, whatever else the te
 Members that differ so little that none is needed are all linked with the nearest member
 of the group, and are compared with that one only. For the others each of the differences
 that could be the first common one is an index key (the need of a member gives their
-number), and members that share a key are compared on full sets. Members of the largest
-component are looked up but never look for each other. No link is lost, and a group of
-near copies is not compared pair by pair: its shared text is in the reference.
+number). Members that share a key leave the join only if their parity sketches allow a
+link: the bits in which two of them differ never outnumber the shingles in which the sets
+do. What leaves it is confirmed on full sets. Members of the largest component are looked
+up but never look for each other. No link is lost, and a group of near copies is not
+compared pair by pair: its shared text is in the reference.
 
 Defined results: words are split at white space and A to Z lower-cased; with fewer words
 than a shingle takes, the whole sequence is the one shingle; without words (null text too)
@@ -29,15 +31,18 @@ a document has an empty set and is linked with nothing. Rows that share an id sh
 component. A row without id is in no component: its component is null and it is kept.
 """
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
 from paperloom.llm import arrays
 from paperloom.llm.components import connected
-from paperloom.llm.runtime import ship, written
+from paperloom.llm.runtime import free_names, ship, written
 
 COORDINATES, SAMPLED = 128, 5
+PARITY_WORDS, SALTS = 8, 16
 _SEEDS = arrays.mix(np.arange(1, 2 * COORDINATES + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
 
 
@@ -118,15 +123,33 @@ def _sketches(width, band_rows):
     return run
 
 
+def parity(owners, values, rows):
+    """A (rows, PARITY_WORDS) array: each element of a row's set turns one hashed bit over."""
+    bits = np.zeros((rows, PARITY_WORDS), np.uint64)
+    place = (values >> np.uint64(20)) % np.uint64(64 * PARITY_WORDS)
+    word = (place >> np.uint64(6)).astype(np.int64)
+    np.bitwise_xor.at(bits, (owners, word), np.uint64(1) << (place & np.uint64(63)))
+    return bits
+
+
+SETS_DDL = "vertex long, shingles array<long>, parity array<long>"
+
+
 def _sets(width):
     def run(batches):
         for batch in batches:
             for chunk in arrays.chunks(batch.column(1)):
                 owners, values = shingle_sets(chunk, width)
                 first = np.searchsorted(owners, np.arange(chunk.rows + 1)).astype(np.int32)
+                bits = arrays.signed(parity(owners, values, chunk.rows).reshape(-1))
+                ends = np.arange(chunk.rows + 1, dtype=np.int32) * PARITY_WORDS
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(chunk.first_row, chunk.rows), pa.ListArray.from_arrays(first, arrays.signed(values))],
-                    names=["vertex", "shingles"],
+                    [
+                        batch.column(0).slice(chunk.first_row, chunk.rows),
+                        pa.ListArray.from_arrays(first, arrays.signed(values)),
+                        pa.ListArray.from_arrays(ends, bits),
+                    ],
+                    names=["vertex", "shingles", "parity"],
                 )
 
     return run
@@ -176,7 +199,7 @@ def _across(groups, sets, percent):
     base = F.coalesce("base", F.array().cast("array<long>"))
     more, less = F.array_except("shingles", base), F.array_except(base, "shingles")
     differing = differing.select(
-        "ref", "vertex", "root", F.size("shingles").alias("n"), F.concat(F.array_sort(more), F.array_sort(less)).alias("apart")
+        "ref", "vertex", "root", "parity", F.size("shingles").alias("n"), F.concat(F.array_sort(more), F.array_sort(less)).alias("apart")
     )
     # A link of a and b needs slack_a + slack_b <= 2 * (100 + percent) * common differences.
     slack = (100 + percent) * F.size("apart").cast("long") - (100 - percent) * F.col("n").cast("long")
@@ -184,26 +207,32 @@ def _across(groups, sets, percent):
     nearest = F.min(F.struct("slack", "vertex", "root")).alias("nearest")
     nearest = differing.groupBy("ref").agg(nearest).select("ref", "nearest.*")
     nearest = nearest.toDF("ref", "least_slack", "nearest", "nearest_root")
-    told = differing.join(nearest, "ref")
+    # The members of a hot group are dealt over several tasks.
+    dealt = differing.withColumn("salt", F.pmod(F.xxhash64("vertex"), F.lit(SALTS)))
+    copies = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt")
+    told = dealt.join(nearest.select("*", copies), ["ref", "salt"])
     need = F.greatest(F.lit(1), F.ceil((F.col("slack") + F.col("least_slack")) / (2.0 * (100 + percent))))
     keys = F.greatest(F.lit(0), F.size("apart") - need + 1).cast("int")
     listed = written(
-        told.select("ref", "vertex", "root", "n", F.explode(F.slice("apart", F.lit(1), keys)).alias("key"))
-    )
-    asking = listed.where("root <> ref").select(
-        "ref", "key", F.col("vertex").alias("a"), F.col("root").alias("root_a"), F.col("n").alias("n_a")
-    )
-    asked = listed.select(
-        F.col("ref").alias("ref_b"),
-        F.col("key").alias("key_b"),
-        F.col("vertex").alias("b"),
-        F.col("root").alias("root_b"),
-        F.col("n").alias("n_b"),
+        told.select("ref", "vertex", "root", "n", "parity", F.explode(F.slice("apart", F.lit(1), keys)).alias("key"))
     )
-    once = (F.col("root_b") == F.col("ref")) | (F.col("a") < F.col("b"))
+
+    def side(rows, name):
+        return rows.select(
+            F.col("ref").alias(f"ref_{name}"),
+            F.col("key").alias(f"key_{name}"),
+            F.col("vertex").alias(name),
+            *[F.col(c).alias(f"{c}_{name}") for c in ("root", "n", "parity")],
+        )
+
+    asking, asked = side(listed.where("root <> ref"), "a"), side(listed, "b")
+    once = (F.col("root_b") == F.col("ref_b")) | (F.col("a") < F.col("b"))
     near_size = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-    apart = (F.col("root_a") != F.col("root_b")) & once & near_size
-    found = asking.join(asked, (F.col("ref") == F.col("ref_b")) & (F.col("key") == F.col("key_b")) & apart)
+    turned = [F.bit_count(F.col("parity_a")[i].bitwiseXOR(F.col("parity_b")[i])) for i in range(PARITY_WORDS)]
+    alike = (100 + percent) * reduce(lambda x, y: x + y, turned) <= (100 - percent) * (F.col("n_a") + F.col("n_b"))
+    apart = (F.col("root_a") != F.col("root_b")) & once & near_size & alike
+    same = (F.col("ref_a") == F.col("ref_b")) & (F.col("key_a") == F.col("key_b"))
+    found = asking.join(asked, same & apart)
     close = told.where("root <> nearest_root").select(F.col("vertex").alias("a"), F.col("nearest").alias("b"))
     both = found.select("a", "b").union(close)
     return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -249,7 +278,7 @@ def near_duplicates(docs, width=5, percent=80, band_rows=4, id_column="doc_id",
     sets = written(
         texts.dropDuplicates(["vertex", "text_hash"])
         .select("vertex", "text")
-        .mapInArrow(_sets(width), "vertex long, shingles array<long>")
+        .mapInArrow(_sets(width), SETS_DDL)
     )
     links = written(_confirmed(pairs, sets, percent))
     roots = connected(links)
@@ -258,10 +287,14 @@ def near_duplicates(docs, width=5, percent=80, band_rows=4, id_column="doc_id",
     groups = written(_groups(written(placed.withColumn("root", F.coalesce("root", "vertex")))))
     across = _across(groups, sets, percent)
     more = written(_confirmed(across.join(pairs, ["a", "b"], "left_anti"), sets, percent))
-    if not more.isEmpty():
-        roots = connected(links.union(more))
+    # Components that the new links join, by their roots.
+    ends = more.join(roots.select(F.col("vertex").alias("a"), F.col("root").alias("root_a")), "a", "left")
+    ends = ends.join(roots.select(F.col("vertex").alias("b"), F.col("root").alias("root_b")), "b", "left")
+    joined_roots = connected(ends.select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")))
 
     component = classes.select("same_set", "vertex").join(roots, "vertex", "left")
+    component = component.select("same_set", F.coalesce("root", "vertex").alias("vertex"))
+    component = component.join(joined_roots, "vertex", "left")
     component = component.select("same_set", F.coalesce("root", "vertex").alias("component_id"))
     joined = found.select("doc_id", "n_shingles", "same_set").join(component, "same_set", "left")
     component_id = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
@@ -274,5 +307,6 @@ def near_duplicates(docs, width=5, percent=80, band_rows=4, id_column="doc_id",
 def representatives(docs, **options):
     """One document of each group, with all columns; rows without id stay."""
     id_column = options.get("id_column", "doc_id")
-    gone = near_duplicates(docs, **options).where(~F.col("kept")).select(F.col("doc_id").alias("_pl_gone")).distinct()
-    return docs.join(gone, docs[id_column] == gone["_pl_gone"], "left_anti")
+    (name,) = free_names(docs, "_pl_gone")
+    gone = near_duplicates(docs, **options).where(~F.col("kept")).select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, docs[id_column] == gone[name], "left_anti")

@@ -81,17 +81,45 @@ def test_groups_without_anything_in_common_but_a_passage(spark):
     check_group(spark, texts, 3, 85)
 
 
+def sets_of(spark, texts, width=3):
+    frame = spark.createDataFrame(list(enumerate(texts)), "vertex long, text string")
+    return frame.mapInArrow(neardup._sets(width), neardup.SETS_DDL).cache()
+
+
 def test_candidates_of_a_hot_group_are_few(spark):
-    """No pair by pair comparison: a group of copies twice as large has about twice the candidates."""
-    counts = []
+    """No pair by pair comparison: what leaves the join is little more than the links."""
     for size in (200, 400):
         rng = random.Random(size)
         _, texts = near_copies(rng, size)
-        sets = [(k, sorted({hash(s) for s in zip(t.split(), t.split()[1:], t.split()[2:])})) for k, t in enumerate(texts)]
-        frame = spark.createDataFrame(sets, "vertex long, shingles array<long>")
-        groups = frame.selectExpr("0L AS ref", "vertex", "vertex AS root")
-        counts.append(neardup._across(groups, frame, 85).count())
-    assert counts[0] < 200 * 199 / 2 / 6 and counts[1] < 400 * 399 / 2 / 6
+        sets = sets_of(spark, texts)
+        groups = sets.selectExpr("0L AS ref", "vertex", "vertex AS root")
+        expected = {(a, b) for a in range(size) for b in range(a) if near(texts[a], texts[b])}
+        found_pairs = {tuple(sorted(r, reverse=True)) for r in neardup._across(groups, sets, 85).collect()}
+        assert expected <= found_pairs
+        assert len(found_pairs) < 8 * size
+
+
+def near(one, other, width=3, percent=85):
+    from brute import shingles
+
+    x, y = shingles(one, width), shingles(other, width)
+    return 100 * len(x & y) >= percent * len(x | y)
+
+
+def test_parity_never_exceeds_the_difference():
+    import numpy as np
+    from paperloom.llm import arrays
+
+    rng = np.random.default_rng(3)
+    pool = arrays.mix(np.arange(1, 3000, dtype=np.uint64))
+    rows = [np.unique(rng.choice(pool, rng.integers(1, 900))) for _ in range(40)]
+    owners = np.repeat(np.arange(40), [len(r) for r in rows])
+    bits = neardup.parity(owners, np.concatenate(rows), 40)
+    for i in range(40):
+        for j in range(i):
+            turned = sum(int(x).bit_count() for x in bits[i] ^ bits[j])
+            apart = len(np.setxor1d(rows[i], rows[j]))
+            assert turned <= apart and turned % 2 == apart % 2
 
 
 def test_awkward_rows(spark, awkward):
