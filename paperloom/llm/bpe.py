@@ -77,7 +77,7 @@ class Codec:
             for cut in range(1, len(token))
             if token[:cut] in ranks and token[cut:] in ranks
         ]
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "600MB"})
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "600MB", "temp_directory": ""})
         first, second, rank = (pa.array(c, pa.int32()) for c in zip(*rows))
         merges = pa.table({"first": first, "second": second, "rank": rank})  # noqa: F841
         self.con.execute("CREATE TABLE merges AS SELECT * FROM merges")

@@ -164,7 +164,8 @@ def _scores(weights, where):
 
 
 def scored(docs, weights, text_column="text"):
-    """The rows with all columns, and `_pl_score` last."""
+    """The rows with all columns, and `_pl_score` last; an input column of that name is replaced."""
     ship(docs.sparkSession)
+    docs = docs.drop("_pl_score")
     schema = StructType([*docs.schema.fields, StructField("_pl_score", DoubleType())])
     return docs.mapInArrow(_scores(weights, docs.columns.index(text_column)), schema)

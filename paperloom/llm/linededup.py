@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from paperloom.llm import arrays
-from paperloom.llm.runtime import ship, written
+from paperloom.llm.runtime import free_names, ship, written
 
 KEY = ["h1", "h2"]
 OWNER = ["owner_id", "owner_text"]
@@ -199,16 +199,14 @@ def keep_bitmaps(docs, min_documents=10, min_chars=1, id_column="doc_id", text_c
 
 def with_bitmaps(docs, bitmaps, id_column="doc_id", text_column="text"):
     """The documents, all their columns, and their bitmap (null: keeps every line)."""
+    own_id, own_text, keep = free_names(docs, "_pl_id", "_pl_text", "_pl_keep")
     keyed = docs.withColumns(
-        {
-            "_pl_id": F.coalesce(F.col(id_column).cast("long"), F.lit(-(2**63))),
-            "_pl_text": F.xxhash64(text_column),
-        }
+        {own_id: F.coalesce(F.col(id_column).cast("long"), F.lit(-(2**63))), own_text: F.xxhash64(text_column)}
     )
     right = bitmaps.select(
-        F.col("owner_id").alias("_pl_id"), F.col("owner_text").alias("_pl_text"), F.col("keep_bitmap").alias("_pl_keep")
+        F.col("owner_id").alias(own_id), F.col("owner_text").alias(own_text), F.col("keep_bitmap").alias(keep)
     )
-    return keyed.join(right, ["_pl_id", "_pl_text"], "left").drop("_pl_id", "_pl_text")
+    return keyed.join(right, [own_id, own_text], "left").drop(own_id, own_text)
 
 
 def surviving_lines(text, bitmap):

@@ -48,3 +48,14 @@ def written(frame):
     path = scratch_folder(spark)
     frame.write.parquet(path, compression="zstd")
     return spark.read.schema(frame.schema).parquet(path)
+
+
+def free_names(frame, *names):
+    """Column names like these that no column of the frame has, in any case."""
+    taken, found = {c.lower() for c in frame.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from paperloom.llm import arrays
 from paperloom.llm.automaton import SuffixAutomaton
-from paperloom.llm.runtime import ship, written
+from paperloom.llm.runtime import free_names, ship, written
 
 GRAM, WIDE = 12, 200
 OWNER = ["owner_id", "owner_text"]
@@ -257,16 +257,14 @@ def repeated_windows(docs, window=35, id_column="doc_id", text_column="text", wi
 
 def with_spans(docs, spans, id_column="doc_id", text_column="text"):
     """The documents, all their columns, and their spans (null: none) last."""
+    own_id, own_text, kept = free_names(docs, "_pl_id", "_pl_text", "_pl_spans")
     keyed = docs.withColumns(
-        {
-            "_pl_id": F.coalesce(F.col(id_column).cast("long"), F.lit(-(2**63))),
-            "_pl_text": F.xxhash64(text_column),
-        }
+        {own_id: F.coalesce(F.col(id_column).cast("long"), F.lit(-(2**63))), own_text: F.xxhash64(text_column)}
     )
     right = spans.select(
-        F.col("owner_id").alias("_pl_id"), F.col("owner_text").alias("_pl_text"), F.col("spans").alias("_pl_spans")
+        F.col("owner_id").alias(own_id), F.col("owner_text").alias(own_text), F.col("spans").alias(kept)
     )
-    return keyed.join(right, ["_pl_id", "_pl_text"], "left").drop("_pl_id", "_pl_text")
+    return keyed.join(right, [own_id, own_text], "left").drop(own_id, own_text)
 
 
 def covered(spans, n_words, window):

@@ -52,3 +52,38 @@ def test_the_sample_is_bounded(spark):
     learned = classifier.trained(docs, labels, sample=10)
     # a document brings at most two words, one pair, and as many forms
     assert 0 < (learned != 0).sum() <= 10 * 6 + 1
+
+
+def test_updates_equal_plain_follow_the_regularised_leader():
+    import math
+    import random
+
+    import numpy as np
+
+    rng = random.Random(5)
+    c = classifier
+    examples = []
+    for _ in range(400):
+        at = sorted(rng.sample(range(60), rng.randrange(1, 9)))
+        examples.append((at, [rng.uniform(0.01, 3) for _ in at], float(sum(at) % 3 == 0)))
+    model, z, n = c.Ftrl(), {}, {}
+    for at, values, label in examples * 2:
+        model.learn(np.array(at), np.array(values), label)
+        w = {}
+        for i in at:
+            zi, ni = z.get(i, 0.0), n.get(i, 0.0)
+            w[i] = 0.0 if abs(zi) <= c.L1 else -(zi - math.copysign(c.L1, zi)) / ((c.BETA + math.sqrt(ni)) / c.ALPHA + c.L2)
+        guess = 1 / (1 + math.exp(-sum(w[i] * v for i, v in zip(at, values))))
+        for i, v in zip(at, values):
+            slope = (guess - label) * v
+            step = (math.sqrt(n.get(i, 0.0) + slope * slope) - math.sqrt(n.get(i, 0.0))) / c.ALPHA
+            z[i] = z.get(i, 0.0) + slope - step * w[i]
+            n[i] = n.get(i, 0.0) + slope * slope
+    assert np.allclose(model.z[sorted(z)], [z[i] for i in sorted(z)]) and np.allclose(model.n[sorted(n)], [n[i] for i in sorted(n)])
+
+
+def test_clashing_names(spark):
+    docs = spark.createDataFrame([(1, "some words", 9.0, "x")], "doc_id long, text string, _pl_score double, score string")
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
+    got = classifier.scored(docs, classifier.trained(docs, labels))
+    assert got.columns == ["doc_id", "text", "score", "_pl_score"] and 0 <= got.first()["_pl_score"] <= 1

@@ -73,3 +73,62 @@ def test_pieces_cover_the_whole_text():
     for _ in range(300):
         data = "".join(rng.choice("abé .!\n\t") for _ in range(rng.randrange(300))).encode()
         assert b"".join(fp._PIECE.findall(data)) == data
+
+
+def plain_tree(text):
+    """The tree as the module's docstring tells it, without its code: (sections, root)."""
+    import hashlib
+
+    digest = lambda data, size: hashlib.blake2b(data, digest_size=size).hexdigest()
+    data, at, pieces = text.encode(), 0, []
+    while at < len(data):
+        stop, begin = at, at
+        while stop < len(data) and data[stop] not in b"\n.!?" and (stop - begin < 64 or data[stop] not in b" "):
+            stop += 1
+        if stop < len(data) and data[stop] in b".!?":
+            while stop < len(data) and data[stop] in b".!?":
+                stop += 1
+            while stop < len(data) and data[stop] in b" \t":
+                stop += 1
+            stop += stop < len(data) and data[stop] == 10
+        elif stop < len(data):
+            stop += 1
+        pieces.append(data[at:stop])
+        at = stop
+    sections, leaves = [], []
+    for piece in pieces:
+        leaves.append(digest(piece, 4))
+        if leaves[-1][0] in "02":
+            sections.append(leaves)
+            leaves = []
+    sections += [leaves] if leaves else []
+    written = "".join(f"/{digest(''.join(s).encode(), 4)}:{''.join(s)}" for s in sections)
+    return sections, digest(f"{len(data)}{hashlib.sha256(data).hexdigest()}{written}".encode(), 16) + written
+
+
+def plain_likeness(one, other):
+    """Twice the shared paragraphs over both texts' paragraphs; whole sections are matched first."""
+    from collections import Counter
+
+    (a, x), (b, y) = one, other
+    if x == y:
+        return 1.0
+    total = sum(map(len, a)) + sum(map(len, b))
+    if not total:
+        return 0.0
+    same = Counter(map(tuple, a)) & Counter(map(tuple, b))
+    shared = sum(len(s) * k for s, k in same.items())
+    left, right = (Counter(p for s, k in (Counter(map(tuple, t)) - same).items() for p in s for _ in range(k)) for t in (a, b))
+    return 2 * (shared + sum((left & right).values())) / total
+
+
+def test_tree_and_likeness_equal_a_plain_version(small):
+    rng = random.Random(4)
+    texts = [r["text"] or "" for r in small.limit(60).collect()]
+    texts += ["".join(rng.choice(["ab", ". ", "!\n", " ", "\n", "?\t", "c" * 70, "é"]) for _ in range(rng.randrange(90))) for _ in range(150)]
+    trees = [plain_tree(t) for t in texts]
+    for text, (_, mark) in zip(texts, trees):
+        assert fp.fingerprint(text.encode()) == mark
+    for _ in range(300):
+        i, j = rng.randrange(len(texts)), rng.randrange(len(texts))
+        assert abs(fp.likeness(trees[i][1], trees[j][1]) - plain_likeness(trees[i], trees[j])) < 1e-9

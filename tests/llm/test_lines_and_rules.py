@@ -62,6 +62,17 @@ def test_measures_equal_brute_force(awkward, small):
             assert tuple(r[c] for c in rules.COUNTS) == measures(r["text"])
 
 
+def test_names_of_the_operator_itself_in_the_input(spark):
+    from paperloom.llm import neardup, substrings
+
+    names = ["_pl_id", "_pl_text", "_pl_keep", "_PL_SPANS", "_pl_gone"]
+    docs = spark.range(12).selectExpr("id AS doc_id", "concat('same line\nown ', id) AS text", *[f"'{n}' AS {n}" for n in names])
+    for got in (linededup.deduped(docs), substrings.without_repeats(docs), neardup.representatives(docs)):
+        assert got.columns == docs.columns and got.count() == 12
+        assert all(r[n] == n for r in got.collect() for n in names)
+    assert {r["text"] for r in linededup.deduped(docs).collect()} == {f"own {k}" for k in range(12)}
+
+
 def test_rules_on_awkward_rows(awkward, nothing):
     got = rules.rules(awkward)
     assert got.count() == len(awkward_rows())
