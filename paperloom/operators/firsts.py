@@ -19,15 +19,25 @@ def first_per_key(frame: DataFrame, keys, order) -> DataFrame:
     )
 
 
+def lowest(frame: DataFrame, keys, order, fields) -> DataFrame:
+    """The lowest row of every key as one value, `_lowest`, whose minimum over parts is that of all.
+
+    Rows compare by the order, then by the fields in the given sequence with NULLs last.
+    """
+    ranked = [F.col(c).alias(f"_{i}") for i, c in enumerate(order)]
+    for i, field in enumerate(fields):
+        ranked += [F.col(field).isNull().alias(f"_null{i}"), F.col(field).alias(field)]
+    return frame.groupBy(*keys).agg(F.min(F.struct(*ranked)).alias("_lowest"))
+
+
+def fields_of(rows: DataFrame, keys, fields) -> DataFrame:
+    return rows.select(*keys, *[F.col(f"_lowest.`{f}`").alias(f) for f in fields])
+
+
 def earliest(frame: DataFrame, keys, order, fields) -> DataFrame:
     """The fields of the lowest row of every key, by the order and then the fields.
 
-    Fields compare in the given sequence with NULLs last. As an aggregate this is cut
-    to one row per key and task before the shuffle, and a plan that reads only the
-    keys drops it altogether, leaving a plain distinct.
+    As an aggregate this is cut to one row per key and task before the shuffle, and a
+    plan that reads only the keys drops it altogether, leaving a plain distinct.
     """
-    ranked = [F.col(c).alias(f"_{i}") for i, c in enumerate(order)]
-    for field in fields:
-        ranked += [F.col(field).isNull().alias(f"{field} unknown"), F.col(field).alias(field)]
-    lowest = frame.groupBy(*keys).agg(F.min(F.struct(*ranked)).alias("_lowest"))
-    return lowest.select(*keys, *[F.col(f"_lowest.`{f}`").alias(f) for f in fields])
+    return fields_of(lowest(frame, keys, order, fields), keys, fields)

@@ -18,31 +18,10 @@ def linked_papers(bridge: DataFrame, papers: DataFrame, key: str, measures, uniq
     return pairs.join(papers.select("paper_id", *measures), "paper_id")
 
 
-def value_cells(links: DataFrame, keys, citations: str | None, open_access: str | None):
-    """Links counted per entity and citation value.
-
-    This is the skew guard for the exact median: a hot entity is spread over as many
-    reducers as it has citation values, and what reaches one reducer afterwards is
-    its distinct values with their frequencies instead of its rows.
-    """
-    grouping = [*keys, citations] if citations else list(keys)
-    measures = [F.count("*").alias("n")]
-    if open_access:
-        measures.append(F.count_if(open_access).alias("oa"))
-    return links.groupBy(*grouping).agg(*measures)
-
-
 def exact_median(citations: str, frequency: str = "n"):
     """Interpolated median from values with frequencies; NULL values are ignored."""
     return F.percentile(citations, 0.5, F.col(frequency))
 
 
-def cell_measures(citations: str):
-    """Sum, mean of known values and median over value cells."""
-    known = F.sum(F.when(F.col(citations).isNotNull(), F.col("n")))
-    total = F.sum(F.col(citations) * F.col("n"))
-    return total, total.cast("double") / known, exact_median(citations)
-
-
 def open_access_share(count: str = "oa", rows: str = "n"):
     return percentage(F.sum(count), F.sum(rows))

@@ -8,6 +8,16 @@ from pyspark.sql import functions as F
 _ROW_BITS = 33
 
 
+# Persisted places of frames that were built and not released yet.
+_held: list[DataFrame] = []
+
+
+def release_places():
+    """Free the places of all numbered frames; one that is read again sorts again."""
+    while _held:
+        _held.pop().unpersist()
+
+
 def global_row_number(frame: DataFrame, order, name: str) -> DataFrame:
     """Number all rows 1..n by expressions that ascend in a total order.
 
@@ -17,7 +27,8 @@ def global_row_number(frame: DataFrame, order, name: str) -> DataFrame:
     added. The places are persisted on the executors' disks because sizes and rows must
     come from the same partitioning; partitions lost with an executor are sorted again
     from the same borders. Nothing runs before the result is asked for, and the broadcast
-    side holds one row per partition, whatever the data size.
+    side holds one row per partition, whatever the data size. Call `release_places` once
+    the result is written.
 
     Every column is sorted, so pass only what the number needs and join it back by id.
     """
@@ -32,6 +43,7 @@ def global_row_number(frame: DataFrame, order, name: str) -> DataFrame:
         .drop(*keys)
         .persist(StorageLevel.DISK_ONLY)
     )
+    _held.append(placed)
     sizes = placed.groupBy("_part").agg(F.count("*").alias("_size"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))

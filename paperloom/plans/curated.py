@@ -1,6 +1,8 @@
 """The seven curated tables, from normalized relations or straight from nested works."""
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.functions.columns import identified
@@ -14,7 +16,7 @@ from paperloom.model import (
     field_paths,
     present,
 )
-from paperloom.operators.firsts import earliest
+from paperloom.operators.firsts import earliest, fields_of, lowest
 from paperloom.sources.relations import WORK_ID, WORK_PRIMARY, Relations, normalize
 
 
@@ -34,14 +36,39 @@ def papers(works: DataFrame) -> DataFrame:
     return works.select(F.col("id").alias("paper_id"), *_columns(PAPER_ATTRIBUTES, paths))
 
 
-def topics(links: DataFrame) -> DataFrame:
-    """One row per topic, labelled by the earliest work that carries it."""
+@dataclass(frozen=True)
+class Labelled:
+    """An entity table before its rows are cut to one per entity: which row labels it."""
+
+    rows: DataFrame
+    key: str
+    order: list
+    fields: list
+    columns: list
+
+    def whole(self) -> DataFrame:
+        return earliest(self.rows, [self.key], self.order, self.fields).select(*self.columns)
+
+    def parts(self, name: str, part: Column) -> DataFrame:
+        """The labelling row of every entity in every part of the works, for `merged`."""
+        return lowest(self.rows.withColumn(name, part), [name, self.key], self.order, self.fields)
+
+    def merged(self, parts: DataFrame) -> DataFrame:
+        """The table from its parts: the lowest of their labelling rows."""
+        rows = parts.groupBy(self.key).agg(F.min("_lowest").alias("_lowest"))
+        return fields_of(rows, [self.key], self.fields).select(*self.columns)
+
+
+def topic_labels(links: DataFrame) -> Labelled:
+    """A topic is labelled by the earliest work that carries it."""
     lineage = ("id", WORK_ID, WORK_PRIMARY, "_parent_id", "_row_id", "pos")
-    fields = _own_fields(links, lineage)
-    rows = earliest(links.filter(identified("id")), ["id"], [WORK_ID], fields)
-    return rows.select(
-        F.col("id").alias("topic_id"), *_columns(TOPIC_ATTRIBUTES, field_paths(links.schema))
-    )
+    columns = [F.col("id").alias("topic_id"), *_columns(TOPIC_ATTRIBUTES, field_paths(links.schema))]
+    return Labelled(links.filter(identified("id")), "id", [WORK_ID], _own_fields(links, lineage), columns)
+
+
+def topics(links: DataFrame) -> DataFrame:
+    """One row per topic."""
+    return topic_labels(links).whole()
 
 
 def paper_topics(links: DataFrame) -> DataFrame:
@@ -56,14 +83,19 @@ def paper_topics(links: DataFrame) -> DataFrame:
     return grouped.agg(*attributes) if attributes else grouped.agg(F.count("*")).select(*TABLE_KEYS["paper_topics"])
 
 
-def authors(links: DataFrame) -> DataFrame:
-    """One row per author, labelled by the earliest work and authorship."""
+def author_labels(links: DataFrame) -> Labelled:
+    """An author is labelled by the earliest work and authorship."""
     columns = _columns(AUTHOR_ATTRIBUTES, field_paths(links.schema))
     rows = links.filter(identified("author.id")).select(
         F.col("author.id").alias("author_id"), *columns, WORK_ID, "_row_id"
     )
     fields = _own_fields(rows, ("author_id", WORK_ID, "_row_id"))
-    return earliest(rows, ["author_id"], [WORK_ID, "_row_id"], fields)
+    return Labelled(rows, "author_id", [WORK_ID, "_row_id"], fields, ["author_id", *fields])
+
+
+def authors(links: DataFrame) -> DataFrame:
+    """One row per author."""
+    return author_labels(links).whole()
 
 
 def paper_authors(links: DataFrame) -> DataFrame:
@@ -76,15 +108,17 @@ def paper_authors(links: DataFrame) -> DataFrame:
     return earliest(rows, TABLE_KEYS["paper_authors"], ["_row_id"], attributes)
 
 
-def institutions(links: DataFrame) -> DataFrame:
-    """One row per institution, labelled by the earliest work and authorship."""
+def institution_labels(links: DataFrame) -> Labelled:
+    """An institution is labelled by the earliest work and authorship."""
     lineage = ("id", WORK_ID, "_parent_id", "_row_id", "pos")
-    fields = _own_fields(links, lineage)
-    rows = earliest(links.filter(identified("id")), ["id"], [WORK_ID, "_parent_id"], fields)
-    return rows.select(
-        F.col("id").alias("institution_id"),
-        *_columns(INSTITUTION_ATTRIBUTES, field_paths(links.schema)),
-    )
+    attributes = _columns(INSTITUTION_ATTRIBUTES, field_paths(links.schema))
+    rows, fields = links.filter(identified("id")), _own_fields(links, lineage)
+    return Labelled(rows, "id", [WORK_ID, "_parent_id"], fields, [F.col("id").alias("institution_id"), *attributes])
+
+
+def institutions(links: DataFrame) -> DataFrame:
+    """One row per institution."""
+    return institution_labels(links).whole()
 
 
 def paper_institutions(links: DataFrame) -> DataFrame:
@@ -119,6 +153,17 @@ def build(relations: Relations) -> dict:
     }
 
 
+def entity_labels(works: DataFrame) -> dict[str, Labelled]:
+    """What labels the entities of nested works; entities whose links never occurred are left out."""
+    relations = normalize(works)
+    sources = {
+        "topics": (topic_labels, _with_key(relations.topics, "id")),
+        "authors": (author_labels, _with_author(relations.authorships)),
+        "institutions": (institution_labels, _with_key(relations.institutions, "id")),
+    }
+    return {name: label(links) for name, (label, links) in sources.items() if links is not None}
+
+
 def _with_key(frame, key):
     """A child relation without its business key identifies nothing."""
     if frame is None or key in frame.columns:

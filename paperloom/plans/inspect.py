@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 from paperloom.model import TABLE_KEYS, VIEWS
 from paperloom.plans.explore import ordering
 
+UNAVAILABLE = "unavailable"
+
 
 def table_samples(tables, n: int = 3) -> dict:
     """Row count and the first rows by key of every curated table."""
@@ -25,11 +27,11 @@ def sample_order(view) -> list:
 
 
 def view_samples(views, n: int = 5) -> dict:
-    """The first rows of every view in its usual order; None for an absent view."""
+    """The first rows of every view in its usual order; `UNAVAILABLE` for an absent one."""
     return {
         name: views[name].orderBy(*ordering(*sample_order(views[name]))).limit(n)
         if name in views
-        else None
+        else UNAVAILABLE
         for name in VIEWS
     }
 

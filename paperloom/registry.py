@@ -1,8 +1,9 @@
 """Every operator as a named query over the star-schema tables of one folder."""
 
 from collections.abc import Mapping
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperloom.functions.columns import blank_key, doi_link
@@ -10,8 +11,11 @@ from paperloom.functions.text import redact_secrets
 from paperloom.model import TABLE_KEYS, WORK_FIELDS
 from paperloom.operators.firsts import first_per_key
 from paperloom.operators.integrity import duplicate_keys, orphans
-from paperloom.plans import analytics, charts, curated, explore, incremental, quality, rawgate
-from paperloom.sources import merge, star
+from paperloom.plans import analytics, charts, curated, explore, incremental, quality, rawgate, status
+from paperloom.plans.warehouse import Warehouse, bucket_of
+from paperloom.session import scratch_root
+from paperloom.sources import export, files, merge, star
+from paperloom.sources.digest import digests, line_hash
 from paperloom.sources.fields import observed_fields
 from paperloom.sources.relations import WORK_ID, Relations, attach_lineage, normalize
 from paperloom.sources.works import parse_works
@@ -222,24 +226,85 @@ def observed_paths(d: Data) -> DataFrame:
     return observed_fields(nested_works(d))
 
 
+def _records(frame):
+    """A batch of works with all fields of the contract, those it does not give unknown."""
+    given = set(frame.columns)
+    kept = [c for c in ("path", "part", "block", "place") if c in given]
+    fields = [(F.col(n) if n in given else F.lit(None)).cast(t).alias(n) for n, t in WORK_FIELDS.items()]
+    return frame.select(*fields, *kept)
+
+
+def _version(works, path, more):
+    """The works again, from another file and with more citations."""
+    return works.select(
+        "id", (F.col("cited_by_count") + more).alias("cited_by_count"), F.lit(path).alias("path"),
+        F.lit(path).alias("part"), F.lit(0).cast("long").alias("block"), F.substring("id", 2, 40).cast("long").alias("place"),
+    )
+
+
 def merged_works(d: Data) -> DataFrame:
     """The load's own merge: all works, then a fifth of them again, each from two files."""
+    works = d.works().select("id", "title", "cited_by_count")
+    again = works.filter(F.substring("id", 2, 40).cast("long") % 5 == 0)
+    batch = _version(again, "a", 1).unionAll(_version(again, "b", 1000))
+    return incremental.merge(_records(works), _records(batch)).select("id", "title", "cited_by_count")
 
-    def records(frame):
-        given = set(frame.columns)
-        kept = [c for c in ("path", "part", "block", "place") if c in given]
-        fields = [(F.col(n) if n in given else F.lit(None)).cast(t).alias(n) for n, t in WORK_FIELDS.items()]
-        return frame.select(*fields, *kept)
 
+def bucketed_merge(d: Data) -> DataFrame:
+    """Two loads into a store laid out in 16 buckets: all works, then few of them again.
+
+    The second load writes no bucket without an id of its own; the works are read back
+    from the folders that the last version names.
+    """
+    store = Warehouse(d.spark, scratch_root(d.spark), buckets=16)
     works = d.works().select("id", "title", "cited_by_count")
-    key = F.substring("id", 2, 40).cast("long")
-    again = works.filter(key % 5 == 0)
-    version = lambda path, more: again.select(
-        "id", (F.col("cited_by_count") + more).alias("cited_by_count"), F.lit(path).alias("path"),
-        F.lit(path).alias("part"), F.lit(0).cast("long").alias("block"), key.alias("place"),
+    origin = [F.lit(0).cast("long").alias(c) for c in ("path", "part", "block", "place")]
+    incremental.load_batch(store, _records(works.select("*", *origin)))
+    again = works.filter(F.substring("id", 2, 40).cast("long") % 997 == 0)
+    incremental.load_batch(store, _records(_version(again, "a", 1).unionAll(_version(again, "b", 1000))))
+    return store.tables("works")["works"].select("id", "title", "cited_by_count")
+
+
+def _cells_delta(name):
+    """Cells kept up through a change of every fiftieth paper, from a store of two versions.
+
+    These papers get more citations, topic T1 in place of their topics, and no authors.
+    """
+
+    def run(d: Data) -> DataFrame:
+        store = Warehouse(d.spark, scratch_root(d.spark), buckets=16)
+        tables = {t: d.tables()[t] for t in ("papers", "paper_topics", "paper_authors", "paper_institutions")}
+        store.publish("curated", tables)
+        incremental.update_cells(store)
+        moved = F.substring("paper_id", 2, 40).cast("long") % 50 == 0
+        papers = tables["papers"]
+        changed = {
+            "papers": papers.withColumn("cited_by_count", F.col("cited_by_count") + F.when(moved, 1000).otherwise(0)),
+            "paper_topics": tables["paper_topics"].filter(~moved).unionByName(
+                papers.filter(moved).select("paper_id", F.lit("T1").alias("topic_id")), allowMissingColumns=True
+            ),
+            "paper_authors": tables["paper_authors"].filter(~moved),
+        }
+        touched = {r[0] for r in papers.filter(moved).select(bucket_of("paper_id", 16)).distinct().collect()}
+        here = bucket_of("paper_id", 16).isin(touched)
+        store.publish("curated", {n: t.filter(here) for n, t in (tables | changed).items()}, only=touched)
+        return incremental.update_cells(store)[name]
+
+    return run
+
+
+def line_digests(d: Data) -> DataFrame:
+    """Digests of five extractions of orders, their lines spread over parts and blocks."""
+    key = F.col("o_orderkey")
+    lines = star.table(d.spark, d.sf_dir, "orders").select(
+        F.concat(F.lit("f"), key % 5).alias("path"),
+        F.lpad(F.floor(key / 5000).cast("string"), 12, "0").alias("part"),
+        F.floor(key / 500).cast("long").alias("block"),
+        key,
+        F.concat(F.lit('{"id":"W'), key, F.lit('"}')).alias("line"),
     )
-    batch = version("a", 1).unionAll(version("b", 1000))
-    return incremental.merge(records(works), records(batch)).select("id", "title", "cited_by_count")
+    place = F.row_number().over(Window.partitionBy("path", "part", "block").orderBy("o_orderkey"))
+    return digests(lines.select("path", "part", "block", place.alias("place"), line_hash("line").alias("hash")))
 
 
 def mistyped_fields(d: Data) -> DataFrame:
@@ -280,6 +345,88 @@ def raw_gate(d: Data) -> DataFrame:
     return checks.select("path", "check_name", "status", "observed_value")
 
 
+def raw_gate_fields(d: Data) -> DataFrame:
+    """Ten extractions of orders, each with another sidecar: every count, completeness, none at all."""
+    key = F.col("o_orderkey")
+    lines = star.table(d.spark, d.sf_dir, "orders").select(
+        F.concat(F.lit("f"), key % 10).alias("path"), F.concat(F.lit('{"id":"W'), key, F.lit('"}')).alias("line")
+    )
+    sizes = lines.groupBy("path").agg(F.count("*").alias("n"))
+    sidecars = (
+        '"actual_record_count":{0},"records_extracted":{0},"source_match_count":{1},"requested_max_records":{0},'
+        '"max_records_requested":{1},"is_complete_extraction":false',
+        '"records_extracted":{1}',
+        '"source_match_count":{2}',
+        '"requested_max_records":"5"',
+        '"max_records_requested":true',
+        '"is_complete_extraction":true,"source_match_count":{0}',
+        '"is_complete_extraction":true,"source_match_count":{1}',
+        '"is_complete_extraction":"yes"',
+        None,
+        '"records_extracted":null,"actual_record_count":3.0',
+    )
+
+    def told(text):
+        numbers = {"{0}": F.col("n"), "{1}": F.col("n") + 1, "{2}": F.col("n") - 1}
+        found = F.lit(text)
+        for mark, number in numbers.items():
+            found = F.replace(found, F.lit(mark), number.cast("string"))
+        return F.concat(F.lit("{"), found, F.lit("}"))
+
+    chosen = F.coalesce(*[F.when(F.col("path") == f"f{i}", told(text)) for i, text in enumerate(sidecars) if text])
+    provenance = sizes.filter("path <> 'f8'").select("path", F.parse_json(chosen).alias("metadata"))
+    listed = sizes.select("path", (F.col("path") != "f8").alias("sidecar"))
+    checks = rawgate.raw_checks(listed, rawgate.file_counts(parse_works(lines)), provenance)
+    return checks.select("path", "check_name", "status", "observed_value")
+
+
+def _exported(d: Data):
+    """A raw folder with one extraction: the first 300 works of 1997 that carry a keyword."""
+    slug = F.replace(F.coalesce(F.nullif(F.trim("open_access.oa_status"), F.lit("")), F.lit("none")), F.lit(" "), F.lit("-"))
+    works = d.works().drop("_row_id").withColumn("keywords", F.array(F.struct(slug.alias("id"))))
+    raw = f"{scratch_root(d.spark)}/raw"
+    export.export_works(works, "urgent", 1997, 300, raw)
+    return raw
+
+
+def exported_sidecars(d: Data) -> DataFrame:
+    """What the sidecars of discovered extractions say, read back."""
+    found = files.discover(d.spark, _exported(d))
+    told = files.read_provenance(d.spark, [e.sidecar for e in found])
+    return told.select(
+        *[
+            F.variant_get("metadata", f"$.{name}", kind).alias(name)
+            for name, kind in (
+                ("actual_record_count", "bigint"), ("source_match_count", "bigint"),
+                ("requested_max_records", "bigint"), ("is_complete_extraction", "boolean"),
+            )
+        ]
+    )
+
+
+def loaded_papers(d: Data) -> DataFrame:
+    """Papers of a store after a run over an exported extraction: gate, load, layers and checks."""
+    root = scratch_root(d.spark)
+    incremental.run(d.spark, root, _exported(d), skip_charts=True)
+    return Warehouse(d.spark, root).tables("curated")["papers"].drop("publication_date")
+
+
+def recent_runs(d: Data) -> DataFrame:
+    """The ten latest of many runs in a ledger, with their durations."""
+    store = Warehouse(d.spark, scratch_root(d.spark))
+    key, started = F.col("o_orderkey"), F.col("o_orderdate").cast("timestamp")
+    runs = star.table(d.spark, d.sf_dir, "orders").select(
+        F.concat(F.lit("r"), key).alias("run_id"),
+        started.alias("started_at"),
+        F.timestamp_micros(F.unix_micros(started) + 500_000 * F.col("o_custkey")).alias("finished_at"),
+        F.when(key % 9 == 0, "failed").otherwise("success").alias("status"),
+        F.lit(1).alias("raw_files_discovered"), F.lit(1).alias("raw_files_processed"),
+        F.lit(None).cast("string").alias("error_stage"), F.lit(None).cast("string").alias("error_message"),
+    )
+    store.append("pipeline_runs", runs)
+    return status.recent_runs(store).select("run_id", "status", "duration_seconds")
+
+
 def _ledger_rows(d: Data) -> DataFrame:
     return star.table(d.spark, d.sf_dir, "orders").select(
         F.concat(F.lit("f"), "o_orderkey").alias("file_path"),
@@ -581,7 +728,62 @@ def rank_violations(d: Data) -> DataFrame:
     )
 
 
+def _without(tables, *columns):
+    return {**tables, "papers": tables["papers"].drop(*columns)}
+
+
+def optional_metrics(d: Data) -> DataFrame:
+    """Topic totals of papers whose source never told open access: its metric is left out."""
+    return analytics.topic_summary(_without(d.tables(), "is_open_access"))
+
+
+def views_without_years(d: Data) -> DataFrame:
+    """Rows of the views that papers without years and statuses still allow."""
+    views = analytics.build(_without(d.tables(), "publication_year", "oa_status"), REFERENCE_YEAR)
+    counted = [v.agg(F.count("*").alias("n")).select(F.lit(name).alias("view"), "n") for name, v in views.items()]
+    return reduce(DataFrame.unionAll, counted)
+
+
+def chart_rows(d: Data) -> DataFrame:
+    """Which charts have something to show when there are no yearly views."""
+    tables = d.tables(with_primary=True)
+    views = analytics.build(_without(tables, "publication_year"), REFERENCE_YEAR)
+    usable = charts.chart_availability(charts.chart_frames(views))
+    return d.spark.createDataFrame(sorted(usable.items()), "chart string, usable boolean")
+
+
+def presence_checks(d: Data) -> DataFrame:
+    """Schema checks of the tables, and whether every view can be read."""
+    tables = dict(d.tables(with_primary=True).items())
+    views = analytics.build(tables, REFERENCE_YEAR)
+    found = quality.curated_checks(tables) + quality.analytics_checks(tables, views)
+    kinds = (".schema", ".queryable", ".single_row")
+    rows = [(r.check_name, r.layer, r.status, r.observed_value) for r in found if r.check_name.endswith(kinds)]
+    return d.spark.createDataFrame(rows, "check_name string, layer string, status string, observed_value string")
+
+
+def rank_faults(d: Data) -> DataFrame:
+    """Where the ranks, shifted by one on every hundredth order, stop following each other."""
+    key = F.substring("paper_id", 2, 40).cast("long")
+    ranked = analytics.top_papers({"papers": d.papers()}, REFERENCE_YEAR)
+    shifted = F.col("citation_rank") + F.when(key % 100 == 0, 1).otherwise(0)
+    return quality.rank_faults(ranked.withColumn("citation_rank", shifted), block=1000)
+
+
 BUILDERS = {
+    "bucketed_merge": bucketed_merge,
+    "topic_cells_delta": _cells_delta("topic_cells"),
+    "author_cells_delta": _cells_delta("author_cells"),
+    "line_digests": line_digests,
+    "rank_faults": rank_faults,
+    "raw_gate_fields": raw_gate_fields,
+    "exported_sidecars": exported_sidecars,
+    "loaded_papers": loaded_papers,
+    "recent_runs": recent_runs,
+    "optional_metrics": optional_metrics,
+    "views_without_years": views_without_years,
+    "chart_rows": chart_rows,
+    "presence_checks": presence_checks,
     "normalize_topics": normalize_topics,
     "normalize_authorships": normalize_authorships,
     "normalize_institutions": normalize_institutions,

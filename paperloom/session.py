@@ -1,6 +1,7 @@
 """Session settings shared by tests, the benchmark and scripts."""
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -45,3 +46,9 @@ def ensure_checkpoint_dir(spark):
         context.setCheckpointDir(tempfile.mkdtemp(prefix="paperloom-checkpoint-"))
     else:
         raise RuntimeError("Set spark.checkpoint.dir to a folder all executors share")
+
+
+def scratch_root(spark) -> str:
+    """A new folder that all executors share, for stores that last no longer than a query."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir().rstrip('/')}/paperloom-{uuid.uuid4().hex}"

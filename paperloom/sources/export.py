@@ -5,6 +5,7 @@ import time
 
 from pyspark.sql import DataFrame
 
+from paperloom.operators.ranking import release_places
 from paperloom.plans.explore import matching_works, select_works
 
 
@@ -31,6 +32,7 @@ def export_works(
     selected = select_works(works, keyword, year, max_records)
     data = f"{out_dir.rstrip('/')}/{keyword}-{year}-{time.time_ns()}.jsonl"
     selected.write.json(data)
+    release_places()
     count = spark.read.text(data).count()
     matches = matching_works(works, keyword, year).count()
     # The keys that the raw checks read.

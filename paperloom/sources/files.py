@@ -2,8 +2,8 @@
 
 An extraction is `<stem>.jsonl` next to `<stem>.metadata.json`, which is written last
 and so marks completion. `<stem>.jsonl` is one file or a folder of part files, as a
-Spark job writes it. Very large extractions should be such folders: a part is hashed
-as one value, which Spark limits to 2 GiB.
+Spark job writes it. A load knows content by its lines (`digest`); `fingerprint` hashes the
+bytes of each part as one value, which Spark limits to 2 GiB, and no load calls it.
 """
 
 import re
@@ -41,26 +41,57 @@ def _glob(spark, pattern):
     return {f.getPath().toString(): f for f in system.globStatus(target) or []}, system
 
 
+def sidecar_of(path: str) -> str:
+    return path.removesuffix(_DATA) + _SIDECAR
+
+
+def data_of(sidecar: str) -> str:
+    return sidecar.removesuffix(_SIDECAR) + _DATA
+
+
+def _described(spark, entries) -> list[Extraction]:
+    """Extractions as they lie there, by path.
+
+    A folder's size and time are those of its parts, so a part rewritten in place shows.
+    All folders are listed by one job, dealt over its tasks; content is not read.
+    """
+    parts, folders = {}, [e.getPath().toString() for e in entries if e.isDirectory()]
+    if folders:
+        listed = spark.read.format("binaryFile").load(folders)
+        told = listed.groupBy(extraction_of("path").alias("path")).agg(
+            F.sum("length").alias("size"), F.max(F.unix_millis("modificationTime")).alias("modified")
+        )
+        parts = {row["path"]: row for row in told.collect()}  # one for each folder
+    found = []
+    for entry in entries:
+        path, inner = entry.getPath().toString(), parts.get(entry.getPath().toString())
+        size = (inner["size"] if inner else 0) if entry.isDirectory() else entry.getLen()
+        modified = max(entry.getModificationTime(), inner["modified"] if inner else 0)
+        found.append(Extraction(path, size, modified, sidecar_of(path)))
+    return sorted(found, key=lambda e: e.path)
+
+
 def discover(spark: SparkSession, raw_dir: str) -> list[Extraction]:
-    """Completed extractions by path, from listings only: no content, no job.
+    """Completed extractions by path, from listings only: no content.
 
-    The file system is asked directly because Spark's own listing hides empty files. A
-    folder's size and time are those of its parts, so a part rewritten in place shows.
+    The file system is asked directly because Spark's own listing hides empty files.
     """
     folder = raw_dir.rstrip("/")
     sidecars, _ = _glob(spark, f"{folder}/*{_SIDECAR}")
-    data, system = _glob(spark, f"{folder}/*{_DATA}")
+    data, _ = _glob(spark, f"{folder}/*{_DATA}")
+    complete = {path for path, entry in sidecars.items() if not entry.isDirectory()}
+    return _described(spark, [entry for path, entry in data.items() if sidecar_of(path) in complete])
+
+
+def extractions(spark: SparkSession, paths: list[str]) -> list[Extraction]:
+    """These extractions as they are now, without a listing of their folder; incomplete ones are left out."""
     found = []
-    for path, entry in sorted(data.items()):
-        sidecar = path.removesuffix(_DATA) + _SIDECAR
-        if sidecar not in sidecars or sidecars[sidecar].isDirectory():
-            continue
-        parts = [entry]
-        if entry.isDirectory():
-            parts += [p for p in system.listStatus(entry.getPath()) if not p.isDirectory()]
-        size = sum(p.getLen() for p in parts if not p.isDirectory())
-        found.append(Extraction(path, size, max(p.getModificationTime() for p in parts), sidecar))
-    return found
+    for path in sorted(set(paths)):
+        target, system = _file_system(spark, path)
+        sidecar, _ = _file_system(spark, sidecar_of(path))
+        if system.exists(target) and system.exists(sidecar):
+            found.append(system.getFileStatus(target))
+    return _described(spark, found)
 
 
 def latest_input(spark: SparkSession, raw_dir: str) -> Extraction | None:

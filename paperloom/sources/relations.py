@@ -1,6 +1,7 @@
 """Normalized relations of a set of works, and the lineage between them."""
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -74,13 +75,24 @@ def normalize(works: DataFrame) -> Relations:
     return Relations(works, topics, authorships, institutions)
 
 
-def attach_lineage(relations: Relations) -> Relations:
-    """Give externally normalized children their work through `_parent_id` joins.
+def lost_children(relations: Relations) -> DataFrame:
+    """(relation, rows): child rows whose parent does not exist, for every relation that has any."""
+    pairs = (
+        ("topics", relations.topics, relations.works),
+        ("authorships", relations.authorships, relations.works),
+        ("institutions", relations.institutions, relations.authorships),
+    )
+    lost = [
+        (child if parent is None else orphans(child, parent)).agg(F.count("*").alias("rows")).select(F.lit(name).alias("relation"), "rows")
+        for name, child, parent in pairs
+        if child is not None
+    ]
+    if not lost:
+        return relations.works.sparkSession.createDataFrame([], "relation string, rows bigint")
+    return reduce(DataFrame.unionAll, lost).filter("rows > 0")
 
-    Raises LineageError on missing lineage columns or orphans, since the inner joins
-    would hide those. Institutions reach their work by way of the authorship alone,
-    so they survive an authorship without a known author.
-    """
+
+def _require_lineage(relations: Relations):
     required = {
         "works": {"id", "_row_id"},
         "topics": {"_parent_id"},
@@ -91,18 +103,29 @@ def attach_lineage(relations: Relations) -> Relations:
         frame = getattr(relations, name)
         if frame is not None and not names <= set(frame.columns):
             raise LineageError(f"{name} has no {', '.join(sorted(names - set(frame.columns)))}")
+
+
+def enforce_lineage(relations: Relations) -> Relations:
+    """The relations, once no child is found without its parent."""
+    _require_lineage(relations)
+    lost = lost_children(relations).collect()  # at most one row for each relation
+    if lost:
+        raise LineageError(f"{', '.join(row['relation'] for row in lost)}: rows whose parent does not exist")
+    return relations
+
+
+def attach_lineage(relations: Relations) -> Relations:
+    """Give externally normalized children their work through `_parent_id` joins.
+
+    Raises LineageError on missing lineage columns. Nothing runs: the inner joins leave
+    out orphans, which `lost_children` finds and `enforce_lineage` refuses. Institutions
+    reach their work by way of the authorship alone, so they survive an authorship
+    without a known author.
+    """
+    _require_lineage(relations)
     works, topics = relations.works, relations.topics
-    authorships, institutions = relations.authorships, relations.institutions
-    for name, child, parent in (
-        ("topics", topics, works),
-        ("authorships", authorships, works),
-        ("institutions", institutions, authorships),
-    ):
-        if child is None:
-            continue
-        lost = not child.isEmpty() if parent is None else not orphans(child, parent).isEmpty()
-        if lost:
-            raise LineageError(f"{name} holds rows whose parent does not exist")
+    authorships = relations.authorships
+    institutions = relations.institutions if authorships is not None else None
 
     has_primary = "primary_topic.id" in field_paths(works.schema)
     carried = [F.col("id").alias(WORK_ID)]

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paperloom.model import WORK_DDL
+from paperloom.sources.digest import line_hash
 from paperloom.sources.files import extraction_of, plain_path, with_json
 
 # A character that is not white space: the Unicode property and four separators.
@@ -57,6 +58,12 @@ def parse_works(lines: DataFrame) -> DataFrame:
     return checked.select(*kept, work.alias("work"), "problem", "mistyped")
 
 
+def batch_schema(spark: SparkSession) -> T.StructType:
+    """The columns of parsed lines with their origin, as a batch stores them."""
+    empty = spark.createDataFrame([], "line string, path string, part string, block bigint, place bigint")
+    return parse_works(visible_lines(empty)).schema
+
+
 def contract_types() -> dict[str, T.DataType]:
     """The type of every field outside arrays; an array counts as one value."""
     found = {}
@@ -99,8 +106,11 @@ def _typed(field, prefix=""):
 
 
 def visible_lines(lines: DataFrame) -> DataFrame:
-    """Lines that are not blank."""
-    return lines.filter(F.col("line").rlike(_VISIBLE))
+    """Lines that are not blank, numbered anew, with their hash."""
+    kept = lines.filter(F.col("line").rlike(_VISIBLE))
+    if "place" not in lines.columns:
+        return kept
+    return kept.withColumn("place", F.monotonically_increasing_id()).withColumn("hash", line_hash("line"))
 
 
 def read_works(spark: SparkSession, paths: list[str]) -> tuple[DataFrame, DataFrame]:

@@ -173,6 +173,53 @@ SELECTS = {
     "merged_works": """
         SELECT paper_id AS id, CASE WHEN k % 5 <> 0 THEN title END AS title,
           cited_by_count + CASE WHEN k % 5 = 0 THEN 1000 ELSE 0 END AS cited_by_count FROM papers""",
+    "bucketed_merge": """
+        SELECT paper_id AS id, CASE WHEN k % 997 <> 0 THEN title END AS title,
+          cited_by_count + CASE WHEN k % 997 = 0 THEN 1000 ELSE 0 END AS cited_by_count FROM papers""",
+    "topic_cells_delta": """
+        , links AS (
+          SELECT paper_id, topic_id FROM paper_topics JOIN papers USING (paper_id) WHERE k % 50 <> 0
+          UNION ALL SELECT paper_id, 'T1' FROM papers WHERE k % 50 = 0
+        )
+        SELECT topic_id, publication_year, cited AS cited_by_count, count(*) AS n, count(*) FILTER (is_open_access) AS oa,
+          count(cited) AS known, coalesce(sum(cited), 0)::BIGINT AS cites
+        FROM (SELECT *, cited_by_count + CASE WHEN k % 50 = 0 THEN 1000 ELSE 0 END AS cited FROM papers)
+        JOIN links USING (paper_id) GROUP BY ALL""",
+    "author_cells_delta": """
+        SELECT author_id, count(*) AS n, count(*) FILTER (is_open_access) AS oa,
+          count(cited_by_count) AS known, coalesce(sum(cited_by_count), 0)::BIGINT AS cites
+        FROM papers JOIN paper_authors USING (paper_id) WHERE k % 50 <> 0 GROUP BY ALL""",
+    "line_digests": """
+        , placed AS (
+          SELECT 'f' || o_orderkey % 5 AS path, md5('{"id":"W' || o_orderkey || '"}') AS hash,
+            row_number() OVER (PARTITION BY o_orderkey % 5 ORDER BY o_orderkey) AS place
+          FROM orders
+        ), hashed AS (
+          SELECT path, place, unnest([0, 1, 2, 3]) AS h,
+            unnest([('0x' || hash[1:8])::BIGINT, ('0x' || hash[9:16])::BIGINT, ('0x' || hash[17:24])::BIGINT,
+              ('0x' || hash[25:32])::BIGINT]) % 2147483647 AS value
+          FROM placed
+        ), sums AS (
+          SELECT path, h, count(*) AS lines, (sum(value) % 2147483647)::BIGINT AS a,
+            (sum(place * value % 2147483647) % 2147483647)::BIGINT AS b
+          FROM hashed GROUP BY ALL
+        )
+        SELECT path, max(lines) AS lines,
+          sha256(max(lines) || '-' || string_agg(a, '-' ORDER BY h) || '-' || string_agg(b, '-' ORDER BY h)) AS digest
+        FROM sums GROUP BY path""",
+    "rank_faults": """
+        , shifted AS (
+          SELECT citation_rank + CASE WHEN k % 100 = 0 THEN 1 ELSE 0 END AS citation_rank, paper_id,
+            coalesce(-cited_by_count, 9223372036854775807) AS place FROM ranked
+          UNION ALL SELECT 0, '', -9223372036854775808
+        ), paired AS (
+          SELECT *, lead(citation_rank) OVER w AS next_rank, lead(place) OVER w AS next_place, lead(paper_id) OVER w AS next_id
+          FROM shifted WINDOW w AS (ORDER BY citation_rank, place, paper_id)
+        )
+        SELECT citation_rank, next_rank, CASE WHEN next_rank = citation_rank THEN 'repeated'
+          WHEN next_rank > citation_rank + 1 THEN 'gap' ELSE 'order' END AS fault
+        FROM paired WHERE next_rank IS NOT NULL AND (next_rank <> citation_rank + 1
+          OR (place, paper_id) >= (next_place, next_id))""",
     "mistyped_fields": """
         SELECT o_orderkey, CASE o_orderkey % 9 WHEN 0 THEN 'cited_by_count' WHEN 1 THEN 'cited_by_count'
             WHEN 2 THEN 'publication_year' WHEN 3 THEN 'cited_by_count' WHEN 4 THEN 'topics' WHEN 5 THEN 'topics'
@@ -190,6 +237,50 @@ SELECTS = {
         UNION ALL SELECT 'f' || p, 'raw.metadata', 'FAIL', 'invalid' FROM f WHERE p = 2
         UNION ALL SELECT 'f' || p, 'raw.actual_record_count', CASE WHEN p = 1 THEN 'FAIL' ELSE 'PASS' END,
           (n + CASE WHEN p = 1 THEN 1 ELSE 0 END)::VARCHAR FROM f WHERE p NOT IN (2, 3)""",
+    "raw_gate_fields": """
+        , f AS (SELECT o_orderkey % 10 AS p, count(*) AS n FROM orders GROUP BY 1)
+        SELECT 'f' || p AS path, 'raw.' || c AS check_name, s AS status, v AS observed_value FROM (
+          SELECT p, 'identity_json' AS c, 'PASS' AS s, n::VARCHAR AS v FROM f
+          UNION ALL SELECT p, 'nonempty', 'PASS', n::VARCHAR FROM f
+          UNION ALL SELECT p, unnest(['actual_record_count', 'records_extracted', 'source_match_count',
+            'requested_max_records', 'max_records_requested', 'completeness']), 'PASS',
+            unnest([n::VARCHAR, n::VARCHAR, (n + 1)::VARCHAR, n::VARCHAR, (n + 1)::VARCHAR, 'False']) FROM f WHERE p = 0
+          UNION ALL SELECT p, 'records_extracted', 'FAIL', (n + 1)::VARCHAR FROM f WHERE p = 1
+          UNION ALL SELECT p, 'source_match_count', 'FAIL', (n - 1)::VARCHAR FROM f WHERE p = 2
+          UNION ALL SELECT p, 'requested_max_records', 'FAIL', 'invalid type' FROM f WHERE p = 3
+          UNION ALL SELECT p, 'max_records_requested', 'FAIL', 'invalid type' FROM f WHERE p = 4
+          UNION ALL SELECT p, 'source_match_count', 'PASS', (n + p - 5)::VARCHAR FROM f WHERE p IN (5, 6)
+          UNION ALL SELECT p, 'completeness', CASE p WHEN 5 THEN 'PASS' ELSE 'FAIL' END, 'True' FROM f WHERE p IN (5, 6)
+          UNION ALL SELECT p, 'completeness', 'FAIL', 'invalid type' FROM f WHERE p = 7
+          UNION ALL SELECT p, 'metadata', 'WARN', 'absent' FROM f WHERE p = 8
+          UNION ALL SELECT p, 'actual_record_count', 'FAIL', 'invalid type' FROM f WHERE p = 9)""",
+    "exported_sidecars": """
+        , matches AS (SELECT count(*) AS n FROM papers WHERE trim(oa_status) = 'urgent' AND publication_year = 1997)
+        SELECT least(n, 300) AS actual_record_count, n AS source_match_count, 300::BIGINT AS requested_max_records,
+          n <= 300 AS is_complete_extraction FROM matches""",
+    "loaded_papers": """
+        SELECT paper_id, doi, title, publication_year, work_type, cited_by_count, is_open_access, oa_status
+        FROM papers WHERE trim(oa_status) = 'urgent' AND publication_year = 1997 ORDER BY paper_id LIMIT 300""",
+    "recent_runs": """
+        SELECT 'r' || o_orderkey AS run_id, CASE WHEN o_orderkey % 9 = 0 THEN 'failed' ELSE 'success' END AS status,
+          0.5::DOUBLE * o_custkey AS duration_seconds
+        FROM orders ORDER BY o_orderdate DESC, run_id LIMIT 10""",
+    "optional_metrics": "SELECT * EXCLUDE (open_access_percentage) FROM topic_summary",
+    "views_without_years": """
+        SELECT 'overview_kpis' AS view, 1::BIGINT AS n UNION ALL SELECT 'topic_summary', count(*) FROM topic_summary
+        UNION ALL SELECT 'top_papers', count(*) FROM papers UNION ALL SELECT 'author_summary', count(*) FROM author_summary
+        UNION ALL SELECT 'institution_summary', count(*) FROM institution_summary""",
+    "chart_rows": """
+        SELECT unnest(['publications_over_time', 'year_over_year_growth', 'topic_trends']) AS chart, false AS usable
+        UNION ALL SELECT unnest(['top_topics', 'citation_distribution', 'top_cited_papers', 'open_access_distribution',
+          'top_authors', 'top_institutions']), count(*) > 0 FROM papers""",
+    "presence_checks": """
+        SELECT unnest(['papers', 'topics', 'paper_topics', 'authors', 'paper_authors', 'institutions',
+          'paper_institutions']) || '.schema' AS check_name, 'curated' AS layer, 'PASS' AS status, 'True' AS observed_value
+        UNION ALL SELECT unnest(['overview_kpis', 'publication_trends', 'topic_summary', 'topic_yearly_trends', 'top_papers',
+          'author_summary', 'institution_summary', 'open_access_summary']) || '.queryable', 'analytics', 'PASS', 'queryable'
+        UNION ALL SELECT 'overview_kpis.single_row', 'analytics', CASE WHEN abs(n - 1) = 0 THEN 'PASS' ELSE 'FAIL' END,
+          abs(n - 1)::VARCHAR FROM (SELECT count(*) AS n FROM (SELECT count(*) FROM papers))""",
     "moved_files": "SELECT 'f' || o_orderkey AS file_path FROM orders WHERE o_orderkey % 3 = 0 OR o_orderkey % 4 = 0",
     "changed_files": "SELECT 'f' || o_orderkey AS file_path FROM orders WHERE o_orderkey % 3 = 0 OR o_orderkey % 4 = 0",
     "latest_entries": """

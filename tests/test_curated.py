@@ -4,7 +4,7 @@ import pytest
 
 from paperloom.model import TABLE_KEYS, WORK_DDL
 from paperloom.plans import curated, quality
-from paperloom.sources.relations import LineageError, Relations, attach_lineage, normalize
+from paperloom.sources.relations import LineageError, Relations, attach_lineage, enforce_lineage, normalize
 
 from conftest import WORKS, rows
 
@@ -33,7 +33,7 @@ def relations(spark, **replaced):
 
 
 def build(spark, **replaced):
-    return curated.build(attach_lineage(relations(spark, **replaced)))
+    return curated.build(attach_lineage(enforce_lineage(relations(spark, **replaced))))
 
 
 def sizes(tables):
