@@ -101,6 +101,7 @@ class Warehouse:
         """`buckets` counts for a new store; one with works keeps the number it began with."""
         self.spark, self.root = spark, root.rstrip("/")
         self._buckets, self._settled = buckets, False
+        self._known = {}
 
     # ---------------------------------------------------------- ledgers
 
@@ -182,9 +183,16 @@ class Warehouse:
         return self._buckets
 
     def published(self, layer: str) -> Version | None:
-        """The current version of a layer, with the homes of its buckets."""
-        row = self.version(layer)
-        return None if row is None else self._described(row)
+        """The current version of a layer, with the homes of its buckets.
+
+        It is read again only when the ledger's listing shows another entry.
+        """
+        _, base, logged = self._ledger_files("layer_versions")
+        listed = tuple(sorted([*base, *logged]))
+        if self._known.get(layer, (None,))[0] != listed:
+            row = self.version(layer)
+            self._known[layer] = (listed, None if row is None else self._described(row))
+        return self._known[layer][1]
 
     def _described(self, row) -> Version:
         recorded = (row["tables"] or {}).items()
