@@ -268,6 +268,9 @@ class Warehouse:
                 return {(name, WHOLE): number}
             if BUCKET not in frame.columns:
                 frame = frame.withColumn(BUCKET, bucket_of(keys[name], buckets))
+            # Tasks sort by bucket to write; rows of a key that follow each other store and shuffle smaller.
+            order = [BUCKET] if keys[name] is None else [BUCKET, keys[name]]
+            frame = frame.sortWithinPartitions(*order)
             frame.write.partitionBy(BUCKET).parquet(path)
             _, written = self._listed(f"{path}/{BUCKET}=*")
             return {(name, int(p.getName().removeprefix(f"{BUCKET}="))): number for p in written}

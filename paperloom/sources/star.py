@@ -128,15 +128,16 @@ def institutions(spark, sf_dir, with_position: bool = False) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
     if with_position:
         lines = _positioned(lines)
-    places = (
-        table(spark, sf_dir, "supplier")
-        .join(
-            table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")
-        )
-        .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey", "n_name", "r_name")
+    suppliers = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
+    nations, regions = (F.broadcast(table(spark, sf_dir, name)) for name in ("nation", "region"))
+    # Spark guesses a join's size as the product of its sides, so a join of the small tables would
+    # look too large to broadcast and all lines would be shuffled for it. One by one they are not.
+    placed = (
+        lines.join(suppliers, "l_suppkey")
+        .join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(regions, F.col("n_regionkey") == F.col("r_regionkey"))
     )
-    return lines.join(places, "l_suppkey").select(
+    return placed.select(
         work_id("l_orderkey").alias(WORK_ID),
         F.struct("l_orderkey", *LINE_ORDER).alias("_parent_id"),
         *([F.col("pos").alias("authorship_pos")] if with_position else []),
