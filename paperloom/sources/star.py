@@ -23,9 +23,15 @@ def topic_id(key: str):
 
 
 def primary_topics(spark, sf_dir) -> DataFrame:
-    """Topic of the first line of each order, pre-aggregated per order."""
+    """Topic of the first line of each order.
+
+    Lines are dealt by order and cut there: an order has few, so cutting them in each task
+    first would sort every line once more.
+    """
     first = (
         table(spark, sf_dir, "lineitem")
+        .select("l_orderkey", *LINE_ORDER)
+        .repartition("l_orderkey")
         .groupBy("l_orderkey")
         .agg(F.min(F.struct(*LINE_ORDER)).alias("line"))
         .select("l_orderkey", F.col("line.l_partkey").alias("p_partkey"))
@@ -39,8 +45,11 @@ def primary_topics(spark, sf_dir) -> DataFrame:
     )
 
 
-def works(spark, sf_dir, with_primary: bool = False) -> DataFrame:
-    """Scalar work fields; the primary topic costs a pass over the lines, so it is opt-in."""
+def works(spark, sf_dir, with_primary: bool = False, primary: DataFrame | None = None) -> DataFrame:
+    """Scalar work fields; the primary topic costs a pass over the lines, so it is opt-in.
+
+    Pass `primary` where the primary topics are computed already.
+    """
     orders = table(spark, sf_dir, "orders")
     key, status = F.col("o_orderkey"), F.col("o_orderstatus")
     doi = (
@@ -70,20 +79,22 @@ def works(spark, sf_dir, with_primary: bool = False) -> DataFrame:
         ).alias("open_access"),
     ]
     if with_primary:
-        orders = orders.join(primary_topics(spark, sf_dir), "o_orderkey", "left")
+        found = primary_topics(spark, sf_dir) if primary is None else primary
+        orders = orders.join(found, "o_orderkey", "left")
         columns.append("primary_topic")
     return orders.select(*columns)
 
 
-def topics(spark, sf_dir, with_primary: bool = False, with_position: bool = False) -> DataFrame:
+def topics(
+    spark, sf_dir, with_primary: bool = False, with_position: bool = False, primary: DataFrame | None = None
+) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
     if with_position:
         lines = _positioned(lines)
     if with_primary:
-        primary = primary_topics(spark, sf_dir).select(
-            F.col("o_orderkey").alias("l_orderkey"), F.col("primary_topic.id").alias(WORK_PRIMARY)
-        )
-        lines = lines.join(primary, "l_orderkey")
+        found = primary_topics(spark, sf_dir) if primary is None else primary
+        first = found.select(F.col("o_orderkey").alias("l_orderkey"), F.col("primary_topic.id").alias(WORK_PRIMARY))
+        lines = lines.join(first, "l_orderkey")
     parts = table(spark, sf_dir, "part")
     return lines.join(parts, lines["l_partkey"] == parts["p_partkey"]).select(
         work_id("l_orderkey").alias(WORK_ID),
