@@ -50,6 +50,8 @@ BUCKETED = {
     "cells": {"topic_cells": "topic_id", "author_cells": "author_id", "institution_cells": "institution_id"},
 }
 BUCKET, BUCKETS = "bucket", 32
+# Fixed value: files of layers, a quarter smaller than with Spark's default for sorted ids and cells.
+CODEC = "zstd"
 _HOMES = "of_source boolean, table string, bucket int, home bigint"
 # A table that is not laid out by bucket has one folder, listed under this number.
 WHOLE = -1
@@ -264,14 +266,14 @@ class Warehouse:
             name, frame = item
             path = f"{self.root}/{layer}/v={number}/{name}"
             if name not in keys:
-                frame.write.parquet(path)
+                frame.write.option("compression", CODEC).parquet(path)
                 return {(name, WHOLE): number}
             if BUCKET not in frame.columns:
                 frame = frame.withColumn(BUCKET, bucket_of(keys[name], buckets))
             # Tasks sort by bucket to write; rows of a key that follow each other store and shuffle smaller.
             order = [BUCKET] if keys[name] is None else [BUCKET, keys[name]]
             frame = frame.sortWithinPartitions(*order)
-            frame.write.partitionBy(BUCKET).parquet(path)
+            frame.write.option("compression", CODEC).partitionBy(BUCKET).parquet(path)
             _, written = self._listed(f"{path}/{BUCKET}=*")
             return {(name, int(p.getName().removeprefix(f"{BUCKET}="))): number for p in written}
 

@@ -114,8 +114,12 @@ def _positioned(lines: DataFrame) -> DataFrame:
     return ordinal_within(lines, "l_orderkey", [F.col(c) for c in LINE_ORDER], coarse, "pos")
 
 
-def authorships(spark, sf_dir, with_position: bool = False) -> DataFrame:
-    """One authorship per line; its row id is the line's place, comparable as it stands."""
+def authorships(spark, sf_dir, with_position: bool = False, within_pair: bool = False) -> DataFrame:
+    """One authorship per line; its row id is the line's place, comparable as it stands.
+
+    `within_pair` leaves order and supplier out of the row id, which then tells lines of one
+    work and author apart and no others: it is most of what a shuffle of authorships sends.
+    """
     lines = table(spark, sf_dir, "lineitem")
     if with_position:
         lines = _positioned(lines)
@@ -125,10 +129,11 @@ def authorships(spark, sf_dir, with_position: bool = False) -> DataFrame:
         F.col("s_name").alias("display_name"),
     )
     position = F.when(F.col("pos") == 0, "first").otherwise("middle") if with_position else None
+    place = [c for c in LINE_ORDER if c != "l_suppkey"] if within_pair else ["l_orderkey", *LINE_ORDER]
     return lines.join(suppliers, lines["l_suppkey"] == suppliers["s_suppkey"]).select(
         work_id("l_orderkey").alias(WORK_ID),
         work_id("l_orderkey").alias("_parent_id"),
-        F.struct("l_orderkey", *LINE_ORDER).alias("_row_id"),
+        F.struct(*place).alias("_row_id"),
         author.alias("author"),
         *([F.col("pos"), position.alias("author_position")] if with_position else []),
         (F.col("l_returnflag") == "R").alias("is_corresponding"),

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from paperloom import registry
 from paperloom.model import VIEWS
+from paperloom.operators import cells
 from paperloom.operators.ranking import release_places
-from paperloom.plans import analytics, incremental
+from paperloom.plans import analytics, curated, incremental
 from paperloom.plans.warehouse import Warehouse
 from paperloom.registry import Data
 from paperloom.sources import star
@@ -153,3 +154,60 @@ def test_layout_keeps_rows_of_a_paper_together(spark, tmp_path):
     for file in spark.read.parquet(f"{at}/curated/v=*/paper_topics/*").inputFiles():
         ids = [r[0] for r in spark.read.parquet(file).select("paper_id").collect()]
         assert ids == sorted(ids)
+
+
+def _sent(frame):
+    """The steps of a plan that send rows, as text."""
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "partial_" in line]
+
+
+def test_cells_by_citations_send_rows_and_open_ones_alone(spark):
+    links = spark.createDataFrame(
+        [("T1", 3, True), ("T1", 3, None), ("T1", None, True), ("T1", 0, False), (None, 5, True), ("T2", 7, None)],
+        "topic string, c long, oa boolean",
+    )
+    whole = cells.counted(links, ["topic", "c"], "oa", "c")
+    found = {tuple(r) for r in whole.collect()}
+    assert found == {("T1", 3, 2, 1, 2, 6), ("T1", None, 1, 1, 0, 0), ("T1", 0, 1, 0, 1, 0), (None, 5, 1, 1, 1, 5), ("T2", 7, 1, 0, 1, 7)}
+    moved = cells.counted(links.filter("topic = 'T1'").withColumn("c", F.col("c") + 1), ["topic", "c"], "oa", "c")
+    change = cells.changes(whole.filter("topic = 'T1'"), moved, "c")
+    after = cells.added(whole, change, citations="c")
+    plain = cells.added(whole, cells.changes(whole.filter("topic = 'T1'"), moved))
+    assert {tuple(r) for r in after.collect()} == {tuple(r) for r in plain.collect()} == {
+        ("T1", 4, 2, 1, 2, 8), ("T1", None, 1, 1, 0, 0), ("T1", 1, 1, 0, 1, 1), (None, 5, 1, 1, 1, 5), ("T2", 7, 1, 0, 1, 7)
+    }
+    assert after.dtypes == plain.dtypes == whole.dtypes
+    for frame, counts in ((whole, 2), (after, 2), (plain, 4)):
+        assert _sent(frame) and _sent(frame)[0].count("partial_") == counts
+
+
+def test_links_of_authors_send_no_more_of_their_place_than_tells_them_apart(spark, folder):
+    data = Data(spark, folder)
+    ours, theirs = data.tables()["paper_authors"], curated.paper_authors(data.authorships())
+    assert ours.exceptAll(theirs).isEmpty() and theirs.exceptAll(ours).isEmpty()
+    place = lambda frame: frame._jdf.queryExecution().optimizedPlan().toString()
+    assert "struct(l_orderkey" in place(theirs) and "struct(l_orderkey" not in place(ours) and "struct(l_linenumber" in place(ours)
+
+
+def test_the_first_line_of_an_author_names_the_link_where_lines_repeat(spark, folder, tmp_path):
+    lines = spark.read.parquet(f"{folder}/lineitem.parquet")
+    again = lines.withColumns({"l_returnflag": F.lit("N"), "l_shipdate": F.col("l_shipdate") - F.expr("INTERVAL 1 DAY")})
+    flipped = lines.withColumns({"l_returnflag": F.lit("R"), "l_extendedprice": F.col("l_extendedprice") - 1.0})
+    lines.unionAll(again).unionAll(flipped).unionAll(lines).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.read.parquet(f"{folder}/supplier.parquet").write.parquet(f"{tmp_path}/supplier.parquet")
+    data = Data(spark, str(tmp_path))
+    ours, theirs = data.tables()["paper_authors"], curated.paper_authors(data.authorships())
+    assert ours.exceptAll(theirs).isEmpty() and theirs.exceptAll(ours).isEmpty()
+    assert {r[0] for r in ours.select("is_corresponding").distinct().collect()} == {False}
+
+
+def test_layers_are_stored_small(spark, tmp_path):
+    store = Warehouse(spark, str(tmp_path), buckets=2)
+    rows = spark.createDataFrame([("W1", "T1")], "paper_id string, topic_id string")
+    store.publish("curated", {"paper_topics": rows, "topics": rows.select("topic_id")})
+    at = json.dumps(str(tmp_path))[1:-1]
+    for folder in ("paper_topics/*", "topics"):
+        files = spark.read.parquet(f"{at}/curated/v=*/{folder}").inputFiles()
+        assert files and all(file.endswith(".zstd.parquet") for file in files)
+    assert store.tables("curated")["paper_topics"].count() == 1
